@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.dates import iso_utc
-from tickloom.functions.numeric import rnd
-from tickloom.operators.ordered import block_window, into_blocks, own_rows, with_positions
 from tickloom.session import use_utc
 
 INGESTED = "2024-02-01 00:00:00"
@@ -37,6 +35,10 @@ def as_ticks(events: DataFrame) -> DataFrame:
 
 
 def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_defects(ticks(spark, sf_dir))
+
+
+def with_defects(clean: DataFrame) -> DataFrame:
     """Ticks with one defect each on fixed event ids; the first matching rule wins."""
     e = F.col("seq")
 
@@ -58,7 +60,7 @@ def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(rule == "empty_ticker", "").when(rule == "null_ticker", F.lit(None).cast("string"))
         .otherwise(F.col("ticker"))
     )
-    return ticks(spark, sf_dir).withColumns({
+    return clean.withColumns({
         "price": price,
         "ticker": ticker,
         "volume": F.when(rule == "negative_volume", F.lit(-1)).otherwise(F.col("volume")),
@@ -90,7 +92,7 @@ def daily_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return (
         items.select("p_brand", "l_shipdate", price.alias("price"), "l_quantity", order.alias("at"))
-        .groupBy(F.col("p_brand").alias("ticker"), F.col("l_shipdate").cast("timestamp").alias("date"))
+        .groupBy(F.upper("p_brand").alias("ticker"), F.col("l_shipdate").cast("timestamp").alias("date"))
         .agg(
             F.min_by("price", "at").alias("open"), F.max("price").alias("high"),
             F.min("price").alias("low"), F.max_by("price", "at").alias("close"),
@@ -112,3 +114,40 @@ def as_bars(history: DataFrame, interval: str = "1d") -> DataFrame:
         F.lit("history").alias("source_api"), F.lit("batch-0").alias("batch_id"),
         F.to_date("date").alias("date"),
     )
+
+
+def feed_line(rows: DataFrame) -> DataFrame:
+    """Feed messages of up to four trades each, with heartbeats and broken lines in between.
+
+    ``value`` is the message text.  Numbers are written the same way by Spark and SQL.
+    """
+    trade = F.concat(
+        F.lit('{"s":'), F.coalesce(F.concat(F.lit('"'), F.col("ticker"), F.lit('"')), F.lit("null")),
+        F.lit(',"p":'), F.coalesce(F.when(~F.isnan("price"), F.col("price")).cast("string"), F.lit("null")),
+        F.lit(',"v":'), F.col("volume").cast("string"),
+        F.lit(',"t":'), F.col("timestamp_ms").cast("string"),
+        F.lit(',"c":['), F.pmod("volume", F.lit(5)).cast("string"), F.lit("]}"),
+    )
+    group = F.expr("seq div 4").alias("line")
+    items = F.array_sort(F.collect_list(F.struct("seq", trade.alias("trade"))))
+    data = F.array_join(F.transform(items, lambda i: i["trade"]), ",")
+    trades = rows.groupBy(group).agg(
+        F.concat(F.lit('{"type":"trade","data":['), data, F.lit("]}")).alias("value"))
+    pings = rows.filter("seq % 50 = 0").select(
+        F.expr("seq div 4").alias("line"), F.lit('{"type":"ping"}').alias("value"))
+    broken = rows.filter("seq % 101 = 0").select(
+        F.expr("seq div 4").alias("line"), F.lit("{bad").alias("value"))
+    return trades.unionByName(pings).unionByName(broken)
+
+
+def daily_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-item history with defects on fixed days of the month."""
+    day = F.dayofmonth("date")
+    # Which days get which defect.
+    return daily_li(spark, sf_dir).withColumns({
+        "open": F.when(day == 3, F.lit(None).cast("double")).when(day == 5, 0.0).otherwise(F.col("open")),
+        "high": F.when(day == 9, F.col("low") - 1).otherwise(F.col("high")),
+        "volume": F.when(day == 13, F.lit(-1)).when(day == 17, F.lit(None).cast("long"))
+                  .otherwise(F.col("volume")),
+        "ticker": F.when(day == 21, "").otherwise(F.col("ticker")),
+    })

@@ -11,10 +11,10 @@ _MICROS = 1_000_000
 def rnd(value: Column, digits: int) -> Column:
     """Half-up decimal rounding that hides last-bit noise of double arithmetic.
 
-    The value is first fixed at 12 decimals, so sums taken in another order still round alike.
+    The value is first fixed at 10 decimals, so sums taken in another order still round alike.
     NaN and values too large for the decimal become NULL.
     """
-    return F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

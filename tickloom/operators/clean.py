@@ -29,6 +29,8 @@ def latest_per_key(
     copies sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest_by]
+    if not rest and not newest_by:
+        return df.distinct()
     newest = [F.col(c).desc_nulls_last() for c in (*newest_by, *rest)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")

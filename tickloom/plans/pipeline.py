@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.bars import align_daily, with_ingest_metadata
 from tickloom.operators.clean import clean_bars
 from tickloom.operators.indicators import add_indicators
+from tickloom.operators.mlprep import nan_to_null
 from tickloom.operators.quality import quality_report, stop_on_critical
 from tickloom.operators.star import dim_date, dim_market_session, dim_ticker, fact_prices
 from tickloom.operators.validate import daily_is_valid
@@ -109,7 +110,7 @@ def load_gold(spark: SparkSession, lake: Lake, upsert_table) -> dict[str, int]:
     counts = {}
     for name, keys in LOAD_ORDER:
         seen = Observation(name)
-        rows = spark.read.parquet(lake.gold(name)).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows = nan_to_null(spark.read.parquet(lake.gold(name))).observe(seen, F.count(F.lit(1)).alias("rows"))
         upsert_table(rows, name, keys)
         counts[name] = seen.get["rows"]
     return counts

@@ -6,6 +6,7 @@ The operators are the batch ones; only watermark, trigger and sinks live here.
 from __future__ import annotations
 
 import logging
+import zlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,11 @@ TRIGGER = {"processingTime": "1 minute"}
 STREAM_KEY = ("ticker", "window_start")
 
 
+def _name(kind: str, checkpoint: str) -> str:
+    """Query names are unique per session; the checkpoint tells two runs of a kind apart."""
+    return f"{kind}_{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def live_bars(ticks: DataFrame, watermark: str = WATERMARK, window_ms: int = MINUTE_MS) -> DataFrame:
     """Streaming bars of the valid ticks.
 
@@ -40,12 +46,12 @@ def live_bars(ticks: DataFrame, watermark: str = WATERMARK, window_ms: int = MIN
 def start_bronze(
     bars: DataFrame, path: str, checkpoint: str, source_api: str, run_id: str,
     trigger: dict = TRIGGER, partition_by: Sequence[str] = PARTITIONS,
-    bar_interval: str = "1m", name: str = "bars_to_bronze",
+    bar_interval: str = "1m",
 ) -> StreamingQuery:
     """Append each bar once, when the watermark passes its window."""
     landed = with_ingest_metadata(bars, source_api, run_id, bar_interval)
     return (
-        landed.writeStream.format("parquet").outputMode("append").queryName(name)
+        landed.writeStream.format("parquet").outputMode("append").queryName(_name("bars_to_bronze", checkpoint))
         .option("path", path).option("checkpointLocation", checkpoint)
         .partitionBy(*partition_by).trigger(**trigger).start()
     )
@@ -53,7 +59,7 @@ def start_bronze(
 
 def start_upsert(
     bars: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, source_api: str,
-    trigger: dict = TRIGGER, stop_on_error: bool = False, name: str = "bars_to_upsert",
+    trigger: dict = TRIGGER, stop_on_error: bool = False,
 ) -> StreamingQuery:
     """Re-emit changed bars and upsert them; repeated bars converge on the final one.
 
@@ -72,7 +78,7 @@ def start_upsert(
             log.warning("upsert of micro-batch %d failed and was skipped", batch_id, exc_info=True)
 
     return (
-        bars.writeStream.outputMode("update").queryName(name).foreachBatch(sink)
+        bars.writeStream.outputMode("update").queryName(_name("bars_to_upsert", checkpoint)).foreachBatch(sink)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
@@ -88,12 +94,11 @@ def lake_upsert(path: str) -> Callable[[DataFrame, int], None]:
 
 def start_dead_letters(
     ticks: DataFrame, path: str, checkpoint: str, trigger: dict = TRIGGER,
-    name: str = "ticks_to_dead_letters",
 ) -> StreamingQuery:
     """Ticks that fail validation, as JSON records."""
     _, rejected = split_ticks(ticks)
     return (
-        tick_dead_letters(rejected).writeStream.format("json").outputMode("append").queryName(name)
+        tick_dead_letters(rejected).writeStream.format("json").outputMode("append").queryName(_name("ticks_to_dead_letters", checkpoint))
         .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
