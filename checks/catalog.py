@@ -21,7 +21,7 @@ from tickloom.operators import serving as SV
 from tickloom.operators import star as S
 from tickloom.operators import upsert as U
 from tickloom.operators import validate as V
-from tickloom.plans.training import as_scored, prepare
+from tickloom.plans.training import as_scored, predict_next_close, prepare
 from tickloom.schemas import BRONZE, FEATURES, INDICATORS, SILVER, TARGET
 from tickloom.session import cut_lineage, shared_dir
 from tickloom.sources import feed as FD
@@ -36,8 +36,19 @@ EVENT_TICKER = "click"       # ticker of the live-feed reports
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def register(name: str, fn: Query) -> None:
+    """Dates leave a query as midnight timestamps, which every client reads alike."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = fn(spark, sf_dir)
+        days = [f.name for f in frame.schema.fields if f.dataType.simpleString() == "date"]
+        return frame.withColumns({c: F.col(c).cast("timestamp") for c in days}) if days else frame
+
+    run.__name__, run.__doc__ = name, fn.__doc__
+    QUERIES[name] = run
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    register(fn.__name__, fn)
     return fn
 
 
@@ -161,6 +172,11 @@ def dead_letter(spark, sf):
     return letters.select("original_message", "error_reason", "ticker")
 
 
+@query
+def feed_counts(spark, sf):
+    return FD.feed_counts(views.feed_line(views.dirty_ticks(spark, sf)))
+
+
 @query
 def csv_roundtrip(spark, sf):
     path = shared_dir(spark, "history")
@@ -334,7 +350,7 @@ def _indicator_query(name: str, columns: list[str]) -> None:
     def run(spark, sf):
         return I.add_indicators(bars_table(spark, sf), columns).select("ticker", "date", *columns)
 
-    QUERIES[name] = run
+    register(name, run)
 
 
 _indicator_query("ind_return", ["daily_return_pct"])
@@ -349,8 +365,8 @@ _indicator_query("ind_volume_z", ["volume_zscore"])
 
 @query
 def indicators_all(spark, sf):
-    """From line items to all indicators, nothing stored in between."""
-    bars = views.as_bars(views.daily_li(spark, sf))
+    """From line items to all indicators; the bars are stored in between, as the silver job does."""
+    bars = cut_lineage(views.as_bars(views.daily_li(spark, sf)), "bars")
     return I.add_indicators(bars, ["is_outlier", *INDICATORS]).select(
         "ticker", "date", "close", "volume", "is_outlier", *INDICATORS)
 
@@ -535,7 +551,7 @@ def upsert_insert_only(spark, sf):
 
 for _name in ("stream_bars_append", "stream_upsert", "stream_dual_sink", "stream_dead_letter",
               "stream_late_drop", "stream_restart"):
-    QUERIES[_name] = getattr(streams, _name)
+    register(_name, getattr(streams, _name))
 
 
 # ---- model preparation, forecasts, scores ------------------------------------------------------
@@ -631,6 +647,12 @@ def ar_forecast(spark, sf):
     return as_scored(FC.ar_forecast(rows.filter("split = 'test'"), phi), "ar")
 
 
+@query
+def predict_next(spark, sf):
+    """Service forecast: fit on everything known, one answer per ticker."""
+    return predict_next_close(fact_table(spark, sf), dim_ticker_table(spark, sf))
+
+
 def _trees(spark, sf):
     key = (spark.sparkContext.applicationId, sf, "trees-model")
     if key not in _STORED:

@@ -75,12 +75,12 @@ _VIEWS = {
                count(*) as trade_count
         from ticks where price > 0 and volume >= 0 group by 1, 2, 3""",
     "daily": """
-        select ticker, cast(event_time as date) as date,
+        select ticker, date_trunc('day', event_time)::timestamp as date,
                first(price order by seq) as open, max(price) as high, min(price) as low,
                last(price order by seq) as close, cast(sum(volume) as bigint) as volume
         from ticks group by 1, 2""",
     "daily_li": """
-        select upper(p_brand) as ticker, cast(l_shipdate as date) as date,
+        select upper(p_brand) as ticker, date_trunc('day', l_shipdate)::timestamp as date,
                first(price order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as open,
                max(price) as high, min(price) as low,
                last(price order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as close,
@@ -139,7 +139,7 @@ _VIEWS = {
                weekofyear(d) as week, isoyear(d) as iso_year, month(d) as month, monthname(d) as month_name,
                quarter(d) as quarter, year(d) as year,
                d in (select date from daily_li) as is_trading_day
-        from (select cast(unnest(generate_series(min(date)::timestamp, max(date)::timestamp, interval 1 day)) as date) as d
+        from (select unnest(generate_series(min(date), max(date), interval 1 day)) as d
               from daily_li)""",
     "sessions": """
         select * from (values
@@ -254,6 +254,12 @@ ORACLE = {
         from checked_ticks where not valid
         union all
         select '{{bad', 'invalid_json', null from ticks where seq % 101 = 0""",
+    "feed_counts": ctes("checked_ticks") + """
+        select (select count(distinct seq // 4) + count(*) filter (seq % 50 = 0) + count(*) filter (seq % 101 = 0)
+                from ticks) as messages,
+               (select count(*) from ticks where seq % 101 = 0) as invalid_json,
+               count(*) filter (valid) as published, count(*) filter (not valid) as rejected
+        from checked_ticks""",
     "csv_roundtrip": ctes("daily") + """
         select ticker, date::timestamp as date, open, high, low, close, volume, 'events' as source,
                '2024-02-01 00:00:00' as ingested_at from daily
@@ -321,7 +327,7 @@ ORACLE = {
         from ticks where price > 0 group by 1, 2""",
     "lambda_union": ctes("minute_bars", "daily") + f"""
         select {_BAR}, '1m' as bar_interval, 'feed_ws' as source_api, 'stream-0' as batch_id,
-               cast(window_start as date) as date from minute_bars
+               date_trunc('day', window_start)::timestamp as date from minute_bars
         union all
         select ticker, date::timestamp, date::timestamp + interval 1 day, open, high, low, close, volume,
                null, null, '1d', 'history', 'batch-0', date from daily""",
@@ -418,7 +424,7 @@ ORACLE = {
     "bi_rsi": ctes("fact") + """
         select ticker as symbol, date, rsi_14, 70 as overbought, 30 as oversold from fact""",
     "bi_prediction_history": ctes("predictions") + """
-        select ticker, cast(predicted_at as date) as date, predicted_close, actual as actual_close,
+        select ticker, date_trunc('day', predicted_at)::timestamp as date, predicted_close, actual as actual_close,
                predicted_direction from predictions""",
     "bi_weekly_accuracy": ctes("predictions") + f"""
         select date_trunc('week', predicted_at)::timestamp as week,

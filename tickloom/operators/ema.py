@@ -26,5 +26,6 @@ def ema(value: Column, span: int, over: WindowSpec, index: Column, seed: Column)
     a = 2.0 / (span + 1)
     r = 1.0 - a
     running = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weighted = F.when(seed, value).otherwise(value * a) * F.pow(F.lit(1.0 / r), index)
-    return F.sum(weighted).over(running) * F.pow(F.lit(r), index)
+    # one power divides and multiplies, so its rounding error cancels however large the index is
+    power = F.pow(F.lit(r), index)
+    return F.sum(F.when(seed, value).otherwise(value * a) / power).over(running) * power

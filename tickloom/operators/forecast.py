@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.ordered import block_window, into_blocks, own_rows, with_positions
 from tickloom.schemas import FEATURES, TARGET
+from tickloom.session import measured
 
 AR_ORDER = 5
 
@@ -65,7 +66,7 @@ def ar_forecast(rows: DataFrame, coefficients: DataFrame, order: int = AR_ORDER)
     """One-step forecast from the closes known so far; the last close where there is no model."""
     step = sum((F.col("phi")[i] * F.col(f"d{i + 1}") for i in range(order)), F.lit(0.0))
     return (
-        rows.join(coefficients, "ticker_id", "left")
+        rows.join(measured(coefficients, "ar-coefficients"), "ticker_id", "left")
         .withColumn("predicted", F.coalesce(F.col("close") + step, F.col("close")))
         .drop("phi", *[f"d{i}" for i in range(1, order + 1)])
     )

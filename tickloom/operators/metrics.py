@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.session import measured
+
 TRADING_DAYS = 252
 
 # Headings of the comparison table.
@@ -100,12 +102,12 @@ def residual_stats(forecasts: DataFrame) -> DataFrame:
 def residual_histogram(forecasts: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width bins between least and largest residual per model; the last bin is closed."""
     residual = F.col("actual") - F.col("predicted")
-    bounds = residual_stats(forecasts).select("model", "low", "high")
+    bounds = measured(residual_stats(forecasts).select("model", "low", "high"), "residual-bounds")
     width = (F.col("high") - F.col("low")) / bins
     slot = F.when(width > 0, F.least(F.floor((residual - F.col("low")) / width), F.lit(bins - 1))) \
         .otherwise(F.lit(bins // 2))
     return (
-        scored_rows(forecasts).join(bounds, "model")  # one row per model
+        scored_rows(forecasts).join(bounds, "model")
         .groupBy("model", slot.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.numeric import finite_or_null, ratio
 from tickloom.operators.ordered import block_window, into_blocks, own_rows, with_positions
 from tickloom.schemas import FEATURES, TARGET
+from tickloom.session import measured
 
 # Split ratios and sequence length.
 TRAIN_RATIO, VALIDATION_RATIO = 0.70, 0.15
@@ -73,13 +74,12 @@ def time_split(
 def scale_features(split: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Standard score with mean and population deviation of the ticker's training rows.
 
-    A constant feature is only centred.  The statistics are one row per ticker from a partial
-    aggregation, joined back without a hint.
+    A constant feature is only centred.  The statistics, one row per ticker, are computed first.
     """
-    stats = split.filter("split = 'train'").groupBy("ticker_id").agg(
+    stats = measured(split.filter("split = 'train'").groupBy("ticker_id").agg(
         *[F.avg(c).alias(f"_mean_{c}") for c in features],
         *[F.stddev_pop(c).alias(f"_std_{c}") for c in features],
-    )
+    ), "feature-stats")
     scaled = {
         c: ratio(F.col(c) - F.col(f"_mean_{c}"),
                  F.when(F.col(f"_std_{c}") == 0, 1.0).otherwise(F.col(f"_std_{c}")))

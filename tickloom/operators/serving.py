@@ -11,6 +11,7 @@ from tickloom.functions.numeric import ratio, rnd
 from tickloom.operators.indicators import partial_sma
 from tickloom.operators.ordered import block_window, into_blocks, own_rows, with_positions
 from tickloom.schemas import PREDICTIONS
+from tickloom.session import measured
 
 # Limits of the history service, and RSI guide lines.
 MIN_DAYS, MAX_DAYS = 1, 500
@@ -159,9 +160,9 @@ def fill_actuals(predictions: DataFrame, closes: DataFrame) -> DataFrame:
         "ticker", F.col("close").alias("_next"),
         F.explode(F.sequence("_previous", F.date_sub("date", 1))).alias("_day"),
     )
-    first = closes.groupBy("ticker").agg(
+    first = measured(closes.groupBy("ticker").agg(
         F.min("date").alias("_first"), F.min_by("close", "date").alias("_first_close")
-    )
+    ), "first-closes")
     early = F.when(F.to_date("predicted_at") < F.col("_first"), F.col("_first_close"))
     return (
         predictions.withColumn("_day", F.to_date("predicted_at"))

@@ -7,12 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.dates import date_of_id
+from tickloom.operators.clean import latest_per_key
 from tickloom.operators.forecast import (
     TREE_SETTINGS, ar_forecast, feature_importance, fit_ar, fit_trees, naive_forecast,
     tree_forecast, with_differences,
 )
 from tickloom.operators.metrics import comparison_table, forecast_metrics, run_log
 from tickloom.operators.mlprep import load_training_rows, scale_features, time_split
+from tickloom.operators.serving import prediction_rows
 from tickloom.schemas import TARGET
 from tickloom.session import cut_lineage
 
@@ -61,5 +64,16 @@ def train_and_compare(fact: DataFrame, run_id: str, **tree_settings) -> Training
     )
 
 
+def predict_next_close(fact: DataFrame, tickers: DataFrame) -> DataFrame:
+    """Service answer per ticker: refit on all rows, forecast from the latest one."""
+    rows = cut_lineage(with_differences(fact), "all-rows")
+    latest = latest_per_key(rows, ["ticker_id"], ["date_id"])
+    answers = ar_forecast(latest, fit_ar(rows)).join(
+        tickers.select("ticker_id", F.col("symbol").alias("ticker")), "ticker_id")
+    made = answers.select("ticker", date_of_id(F.col("date_id")).cast("timestamp").alias("predicted_at"),
+                          "predicted", F.col("close").alias("current_close"))
+    return prediction_rows(made, "ar")
+
+
 def write_comparison(comparison: DataFrame, path: str) -> None:
     comparison.write.mode("overwrite").option("header", True).csv(path)

@@ -121,6 +121,21 @@ def feed_dead_letters(lines: DataFrame) -> DataFrame:
     ))
 
 
+def feed_counts(lines: DataFrame) -> DataFrame:
+    """Messages read, broken messages, trades published and trades rejected."""
+    messages = lines.agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("value").isNotNull() & F.try_parse_json("value").isNull()).alias("invalid_json"),
+    )
+    trades = feed_trades(lines).agg(
+        F.count_if("valid").alias("published"), F.count_if(~F.col("valid")).alias("rejected"))
+    return messages.select(
+        "messages", "invalid_json",
+        trades.select("published").scalar().alias("published"),
+        trades.select("rejected").scalar().alias("rejected"),
+    )
+
+
 def tick_dead_letters(rejected: DataFrame) -> DataFrame:
     """Rejected ticks as dead letters."""
     fields = [f for f in TICK_WIRE.fieldNames() if f in rejected.columns]
@@ -138,16 +153,22 @@ def publish_payload(ticks: DataFrame) -> DataFrame:
     )
 
 
-def publish(ticks: DataFrame, servers: str, topic: str) -> None:
-    publish_payload(ticks).write.format("kafka") \
+def letter_payload(letters: DataFrame) -> DataFrame:
+    """Dead letters as keyed messages for their topic."""
+    return letters.select(F.col("ticker").alias("key"), F.to_json(F.struct(*letters.columns)).alias("value"))
+
+
+def publish(payload: DataFrame, servers: str, topic: str) -> None:
+    """Send (key, value) rows, of ticks or of dead letters."""
+    payload.write.format("kafka") \
         .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
 def publish_stream(
-    ticks: DataFrame, servers: str, topic: str, checkpoint: str
+    payload: DataFrame, servers: str, topic: str, checkpoint: str
 ) -> StreamingQuery:
     return (
-        publish_payload(ticks).writeStream.format("kafka")
+        payload.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers).option("topic", topic)
         .option("checkpointLocation", checkpoint).start()
     )
