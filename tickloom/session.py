@@ -47,7 +47,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     Only a local-mode session without that setting gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "") or ""
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
