@@ -45,54 +45,60 @@ def add_indicators(
     week, month, last20 = (over.rowsBetween(-n, 0) for n in (6, 29, 19))
     earlier20 = over.rowsBetween(-20, -1)
 
-    def full(rows: int, frame, value: Column, result: Column) -> Column:
-        """NULL until the frame holds ``rows`` values."""
-        return F.when(F.count(value).over(frame) == rows, result)
-
-    # layer 1: windows over close and volume
+    # layer 1: windows over close and volume.  Each function is its own column, so that none is
+    # evaluated twice; rounding and null rules come after.
     starts = F.col("_row") == 1
     layer1 = blocks.withColumns({
         "_previous": F.lag("close").over(over),
-        "sma_7": full(7, week, close, rnd(F.avg(close).over(week), 4)),
-        "sma_30": full(30, month, close, rnd(F.avg(close).over(month), 4)),
-        "ema_12": rnd(ema(close, 12, over, index, starts), 4),
-        "ema_26": rnd(ema(close, 26, over, index, starts), 4),
-        "bb_middle": full(20, last20, close, rnd(F.avg(close).over(last20), 4)),
-        "_spread": full(20, last20, close, 2 * F.stddev_samp(close).over(last20)),
-        "volume_zscore": full(20, last20, volume, rnd(ratio(
-            volume - F.avg(volume).over(last20), F.stddev_samp(volume).over(last20)), 4)),
-        "_mean": F.avg(close).over(earlier20),
-        "_deviation": F.stddev_samp(close).over(earlier20),
+        "_n7": F.count(close).over(week), "_avg7": F.avg(close).over(week),
+        "_n30": F.count(close).over(month), "_avg30": F.avg(close).over(month),
+        "_n20": F.count(close).over(last20), "_avg20": F.avg(close).over(last20),
+        "_std20": F.stddev_samp(close).over(last20),
+        "_vol_n20": F.count(volume).over(last20), "_vol_avg20": F.avg(volume).over(last20),
+        "_vol_std20": F.stddev_samp(volume).over(last20),
+        "_mean": F.avg(close).over(earlier20), "_deviation": F.stddev_samp(close).over(earlier20),
+        "_ema12": ema(close, 12, over, index, starts), "_ema26": ema(close, 26, over, index, starts),
     })
 
     # plain columns between the layers; every stage reads the rounded one before it
     delta = close - F.col("_previous")
     far = F.abs(close - F.col("_mean")) > 3 * F.col("_deviation")
-    between = layer1.withColumns({
+    rounded = layer1.withColumns({
         "_return": ratio(close, F.col("_previous")) - 1,
         "_gain": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
         "_loss": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))),
-        "macd": rnd(F.col("ema_12") - F.col("ema_26"), 4),
-        "bb_upper": rnd(F.col("bb_middle") + F.col("_spread"), 4),
-        "bb_lower": rnd(F.col("bb_middle") - F.col("_spread"), 4),
+        "sma_7": F.when(F.col("_n7") == 7, rnd(F.col("_avg7"), 4)),
+        "sma_30": F.when(F.col("_n30") == 30, rnd(F.col("_avg30"), 4)),
+        "ema_12": rnd(F.col("_ema12"), 4),
+        "ema_26": rnd(F.col("_ema26"), 4),
+        "bb_middle": F.when(F.col("_n20") == 20, rnd(F.col("_avg20"), 4)),
+        "_score": F.when(F.col("_vol_n20") == 20, ratio(volume - F.col("_vol_avg20"), F.col("_vol_std20"))),
         "is_outlier": F.coalesce((F.col("_deviation") > 0) & far, F.lit(False)),
     })
+    between = rounded.withColumns({
+        "daily_return_pct": rnd(F.col("_return") * 100, 4),
+        "macd": rnd(F.col("ema_12") - F.col("ema_26"), 4),
+        "bb_upper": rnd(F.col("bb_middle") + 2 * F.col("_std20"), 4),
+        "bb_lower": rnd(F.col("bb_middle") - 2 * F.col("_std20"), 4),
+        "volume_zscore": rnd(F.col("_score"), 4),
+    })
 
     # layer 2: windows over layer 1; the first gain and loss belong to the second row
-    gains_start = F.col("_row") == 2
-    returns = F.col("_return")
+    second = F.col("_row") == 2
     layer2 = between.withColumns({
-        "volatility_7d": full(7, week, returns, rnd(F.stddev_samp(returns).over(week), 6)),
-        "macd_signal": rnd(ema(F.col("macd"), 9, over, index, starts), 4),
-        "_strength": ratio(ema(F.col("_gain"), 14, over, index, gains_start),
-                           ema(F.col("_loss"), 14, over, index, gains_start)),
+        "_ret_n7": F.count("_return").over(week), "_ret_std7": F.stddev_samp("_return").over(week),
+        "_signal": ema(F.col("macd"), 9, over, index, starts),
+        "_up": ema(F.col("_gain"), 14, over, index, second),
+        "_down": ema(F.col("_loss"), 14, over, index, second),
     })
-
     done = layer2.withColumns({
-        "daily_return_pct": rnd(returns * 100, 4),
-        "macd_histogram": rnd(F.col("macd") - F.col("macd_signal"), 4),
+        "volatility_7d": F.when(F.col("_ret_n7") == 7, rnd(F.col("_ret_std7"), 6)),
+        "macd_signal": rnd(F.col("_signal"), 4),
         # NULL, not 100, while there has been no loss
-        "rsi_14": rnd(100 - 100 / (1 + F.col("_strength")), 4),
+        "_rsi": 100 - 100 / (1 + ratio(F.col("_up"), F.col("_down"))),
+    }).withColumns({
+        "rsi_14": rnd(F.col("_rsi"), 4),
+        "macd_histogram": rnd(F.col("macd") - F.col("macd_signal"), 4),
     })
     return own_rows(done).select(*bars.columns, *wanted)
 
@@ -107,4 +113,5 @@ def partial_sma(bars: DataFrame, rows: int = 10, name: str = "sma_10") -> DataFr
     placed = with_positions(bars, SERIES, ["window_start"], bar_bucket())
     blocks = into_blocks(placed, back=rows - 1)
     frame = block_window(SERIES).rowsBetween(-(rows - 1), 0)
-    return own_rows(blocks.withColumn(name, rnd(F.avg("close").over(frame), 4)), "pos", "series_rows")
+    averaged = blocks.withColumn("_mean", F.avg("close").over(frame)).withColumn(name, rnd(F.col("_mean"), 4))
+    return own_rows(averaged, "pos", "series_rows", "_mean")

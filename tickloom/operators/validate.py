@@ -13,7 +13,7 @@ def _holds(condition: Column) -> Column:
 
 def _positive(name: str) -> Column:
     value = F.col(name)
-    return (value > 0) & ~F.isnan(value)  # NaN compares greater than every number
+    return (value > 0) & (value < float("inf"))  # NaN compares greater than every number
 
 
 def tick_is_valid() -> Column:

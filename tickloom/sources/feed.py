@@ -47,12 +47,10 @@ def parse_ticks(records: DataFrame) -> DataFrame:
     )
 
 
-def _json_type(document: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-
-
-def _is_number(document: Column, path: str) -> Column:
-    return _json_type(document, path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+#: A trade element.  Number fields refuse JSON strings; the symbol is read untyped because a text
+#: field would accept any JSON value.
+_TRADE = "s variant, p double, v double, t double, c array<int>"
+_LONG_LIMIT = float(2 ** 63)
 
 
 def feed_trades(lines: DataFrame) -> DataFrame:
@@ -63,25 +61,23 @@ def feed_trades(lines: DataFrame) -> DataFrame:
     """
     message = F.from_json("value", ENVELOPE)
     rest = [c for c in lines.columns if c != "value"]
+    fields = F.from_json("trade", _TRADE, {"allowNonNumericNumbers": "false"})
     elements = (
         lines.select(*rest, message.alias("message"))
         .filter(F.col("message.type") == "trade")
         .select(*rest, F.posexplode("message.data").alias("element", "trade"))
-        .withColumn("_doc", F.try_parse_json("trade"))
+        .select(*rest, "element", "trade", fields.alias("_trade"))
+        .select(*rest, "element", "trade", "_trade.*")
     )
-    doc = F.col("_doc")
-    typed = elements.select(
-        *rest, "element", "trade",
-        F.try_variant_get(doc, "$.s", "string").alias("s"),
-        F.try_variant_get(doc, "$.p", "double").alias("p"),
-        F.try_variant_get(doc, "$.v", "double").alias("v"),
-        F.try_variant_get(doc, "$.t", "double").alias("t"),
-        F.try_variant_get(doc, "$.c", "array<int>").alias("c"),
-        ((_json_type(doc, "$.s") == "STRING") & _is_number(doc, "$.p")
-         & _is_number(doc, "$.v") & _is_number(doc, "$.t")).alias("_typed"),
+    valid = (
+        (F.schema_of_variant("s") == "STRING")
+        & (F.length(F.try_variant_get("s", "$", "string")) > 0)
+        & (F.col("p") > 0) & (F.col("p") < float("inf"))
+        & (F.col("v") >= 0) & (F.col("v") < _LONG_LIMIT)
+        & (F.col("t") > 0) & (F.col("t") < _LONG_LIMIT)
     )
-    valid = F.col("_typed") & (F.length("s") > 0) & (F.col("p") > 0) & (F.col("v") >= 0) & (F.col("t") > 0)
-    return typed.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("_typed")
+    return elements.withColumn("valid", F.coalesce(valid, F.lit(False))) \
+        .withColumn("s", F.try_variant_get("s", "$", "string"))
 
 
 def unwrap_feed(lines: DataFrame, source: str = "feed_ws") -> DataFrame:
