@@ -27,9 +27,10 @@ def add_indicators(
 ) -> DataFrame:
     """Add the named columns (of ``INDICATORS`` and ``is_outlier``) to clean bars.
 
-    Bars must be unique per ticker, interval and start.  They are read twice (bucket sizes, rows),
-    so pass a stored table rather than a long computation.  Everything is built in two layers of
-    window functions over one spec, and Catalyst drops what ``columns`` does not ask for.
+    Bars must be unique per ticker, interval and start, with close and volume set, as ``clean_bars``
+    leaves them.  They are read twice (bucket sizes, rows), so pass a stored table rather than a long
+    computation.  Everything is built in two layers of window functions over one spec, and Catalyst
+    drops what ``columns`` does not ask for.
     """
     wanted = list(columns)
     back = warmup if _NEED_EMA & set(wanted) else _FRAME_ROWS
@@ -45,17 +46,18 @@ def add_indicators(
     week, month, last20 = (over.rowsBetween(-n, 0) for n in (6, 29, 19))
     earlier20 = over.rowsBetween(-20, -1)
 
+    def has(rows: int) -> Column:
+        """The series is long enough for a full frame; until then the average is NULL."""
+        return F.col("pos") >= rows
+
     # layer 1: windows over close and volume.  Each function is its own column, so that none is
     # evaluated twice; rounding and null rules come after.
     starts = F.col("_row") == 1
     layer1 = blocks.withColumns({
         "_previous": F.lag("close").over(over),
-        "_n7": F.count(close).over(week), "_avg7": F.avg(close).over(week),
-        "_n30": F.count(close).over(month), "_avg30": F.avg(close).over(month),
-        "_n20": F.count(close).over(last20), "_avg20": F.avg(close).over(last20),
-        "_std20": F.stddev_samp(close).over(last20),
-        "_vol_n20": F.count(volume).over(last20), "_vol_avg20": F.avg(volume).over(last20),
-        "_vol_std20": F.stddev_samp(volume).over(last20),
+        "_avg7": F.avg(close).over(week), "_avg30": F.avg(close).over(month),
+        "_avg20": F.avg(close).over(last20), "_std20": F.stddev_samp(close).over(last20),
+        "_vol_avg20": F.avg(volume).over(last20), "_vol_std20": F.stddev_samp(volume).over(last20),
         "_mean": F.avg(close).over(earlier20), "_deviation": F.stddev_samp(close).over(earlier20),
         "_ema12": ema(close, 12, over, index, starts), "_ema26": ema(close, 26, over, index, starts),
     })
@@ -67,12 +69,12 @@ def add_indicators(
         "_return": ratio(close, F.col("_previous")) - 1,
         "_gain": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
         "_loss": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))),
-        "sma_7": F.when(F.col("_n7") == 7, rnd(F.col("_avg7"), 4)),
-        "sma_30": F.when(F.col("_n30") == 30, rnd(F.col("_avg30"), 4)),
+        "sma_7": F.when(has(7), rnd(F.col("_avg7"), 4)),
+        "sma_30": F.when(has(30), rnd(F.col("_avg30"), 4)),
         "ema_12": rnd(F.col("_ema12"), 4),
         "ema_26": rnd(F.col("_ema26"), 4),
-        "bb_middle": F.when(F.col("_n20") == 20, rnd(F.col("_avg20"), 4)),
-        "_score": F.when(F.col("_vol_n20") == 20, ratio(volume - F.col("_vol_avg20"), F.col("_vol_std20"))),
+        "bb_middle": F.when(has(20), rnd(F.col("_avg20"), 4)),
+        "_score": F.when(has(20), ratio(volume - F.col("_vol_avg20"), F.col("_vol_std20"))),
         "is_outlier": F.coalesce((F.col("_deviation") > 0) & far, F.lit(False)),
     })
     between = rounded.withColumns({
