@@ -17,6 +17,8 @@ from tickloom.session import cut_lineage
 log = logging.getLogger(__name__)
 Result = TypeVar("Result")
 
+MAX_LITERAL_PARTITIONS = 1000
+
 
 def upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()
@@ -66,8 +68,7 @@ def upsert_partitions(
     except AnalysisException:  # no table yet
         merged = latest_per_key(incoming, list(keys), newest_by)
     else:
-        touched = incoming.select(partition).distinct()
-        current = stored.join(touched, partition, "left_semi")
+        current = touched_partitions(stored, incoming, partition)
         merged = cut_lineage(upsert(current, incoming, keys, newest_by), "upsert-merged")
     (
         merged.hint("rebalance", partition).write.mode("overwrite")
@@ -75,6 +76,19 @@ def upsert_partitions(
     )
 
 
+def touched_partitions(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
+    """Rows of ``stored`` in the partitions that ``incoming`` has rows for.
+
+    A few partition values become a literal filter, which prunes folders before anything is read; a
+    join would list and read all of them.  Beyond ``MAX_LITERAL_PARTITIONS`` it is a join.
+    """
+    values = incoming.select(partition).distinct()
+    few = [row[0] for row in values.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+    if len(few) <= MAX_LITERAL_PARTITIONS:
+        return stored.filter(F.col(partition).isin(few))
+    return stored.join(values, partition, "left_semi")
+
+
 def on_conflict_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:
     """The statement that moves a staging table into ``table`` inside the database."""
     names = ", ".join(columns)
