@@ -8,22 +8,14 @@ from pyspark.sql import functions as F
 _MICROS = 1_000_000
 
 
-# Doubles below this are whole numbers of ten-billionths without loss.
-_EXACT_BELOW = 100_000.0
-
-
 def rnd(value: Column, digits: int) -> Column:
     """Half-up decimal rounding that hides last-bit noise of double arithmetic.
 
     The value is first fixed at 10 decimals, so sums taken in another order still round alike.
-    NaN and values too large for a decimal become NULL.  Ordinary magnitudes are rounded in double
-    arithmetic, which gives the same digits as the decimal type in a fraction of the time.
+    NaN and values too large for the decimal become NULL.  (Rounding by double arithmetic is faster
+    on its own, but a projection with many of them grows past what the JVM compiles.)
     """
-    fixed = F.rint(F.abs(value) * 1e10)
-    scaled = F.floor(fixed / 10.0 ** (10 - digits) + 0.5)
-    fast = F.when(value < 0, -scaled).otherwise(scaled) / 10.0 ** digits
-    slow = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
-    return F.when(F.abs(value) < _EXACT_BELOW, fast).otherwise(slow)
+    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
