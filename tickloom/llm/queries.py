@@ -2,23 +2,56 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import hilbert, winnow
-from tickloom.llm.common import table
+from tickloom.llm import bpe, hilbert, orc_tokens, warc, winnow
+from tickloom.llm.common import shared_dir, table
+
+
+def op1_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "tokens")
+    orc_tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return orc_tokens.catalogue(orc_tokens.read_tokens(spark, path))
+
+
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc, out = shared_dir(spark, "arc"), shared_dir(spark, "warc")
+    warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    warc.arc_to_warc(spark, arc, out)
+    return warc.read_warc(spark, out, payloads=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_key").alias("refers_to"))
 
 
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.document_shards(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_orc_tokens": op1_orc_tokens,
+    "op3_arc_to_warc": op3_arc_to_warc,
     "op7_winnowing": op7_winnowing,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_arc_to_warc": """
+        with p as (select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as d from pages),
+        f as (select d, min(page_id) as first from p group by d)
+        select page_id, n::bigint as payload_bytes, d as payload_digest,
+               case when n >= 100 and first < page_id then 'revisit' else 'response' end as record_type,
+               case when n >= 100 and first < page_id then first end as refers_to
+        from p join f using (d)""",
+}
