@@ -58,29 +58,31 @@ def likeness(a: str, b: str) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(*hashes)) / union)
 
 
-def with_next(df: DataFrame, id_col: str, columns: dict[str, str], tie: str) -> DataFrame:
-    """Adds for each (name, source) of ``columns`` the ``source`` of the next row by ``id_col``; the last row's is the first's.
+def with_next(df: DataFrame, id_col: str, column: str, name: str, tie: str) -> DataFrame:
+    """Adds ``name``, the ``column`` of the next row by ``id_col``; the last row's is the first's.
 
     The table is cut into buckets that follow the id, and the first row of a bucket is lent to the
-    bucket before it; the text moves once.  Null ids come first, rows with one id follow ``tie``.
+    bucket before it; a row moves once.  Null ids come first, rows with one id follow ``tie``.
     """
     lowest = F.lit(-(1 << 63))
     rows = df.withColumn("_key", F.coalesce(F.col(id_col), lowest))
     bucket = ordered_buckets(df.select(F.coalesce(F.col(id_col), lowest).alias("_key")), "_key")
     # one row per bucket, and their number is fixed by the shuffle width
-    firsts = df.select(F.coalesce(F.col(id_col), lowest).alias("_key")).select("_key", bucket.alias("_bucket")) \
-        .groupBy("_bucket").agg(F.min("_key").alias("_key"))
-    around = Window.partitionBy().orderBy("_bucket")
-    last = F.max("_bucket").over(Window.partitionBy())
-    firsts = firsts.select("_key", F.coalesce(F.lag("_bucket").over(around), last).alias("_lend"))
-    copies = F.explode(F.array_compact(F.array(
-        F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("lent")),
-        F.when(F.col("_lend").isNotNull(), F.struct(F.col("_lend").alias("b"), F.lit(True).alias("lent"))))))
-    out = rows.withColumn("_bucket", bucket).join(F.broadcast(firsts), "_key", "left").withColumn("_at", copies)
-    order = Window.partitionBy("_at.b").orderBy("_at.lent", "_key", tie)
-    for name, source in columns.items():
-        out = out.withColumn(name, F.lead(source).over(order))
-    return out.filter(~F.col("_at.lent")).drop("_key", "_bucket", "_lend", "_at")
+    firsts = df.select(F.coalesce(F.col(id_col), lowest).alias("_key")).select("_key", bucket.alias("_b")) \
+        .groupBy("_b").agg(F.min("_key").alias("_key"))
+    around = Window.partitionBy().orderBy("_b")
+    last = F.max("_b").over(Window.partitionBy())
+    firsts = firsts.select("_key", F.coalesce(F.lag("_b").over(around), last).alias("_lend"))
+    copies = F.inline(F.array_compact(F.array(
+        F.struct(F.col("_home").alias("_bucket"), F.lit(False).alias("_lent")),
+        F.when(F.col("_lend").isNotNull(), F.struct(F.col("_lend").alias("_bucket"), F.lit(True).alias("_lent"))))))
+    order = Window.partitionBy("_bucket").orderBy("_lent", "_key", tie)
+    return (
+        rows.withColumn("_home", bucket).join(F.broadcast(firsts), "_key", "left")
+        .select(*df.columns, "_key", copies)
+        .withColumn(name, F.lead(column).over(order))
+        .filter("not _lent").drop("_key", "_bucket", "_lent")
+    )
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -92,13 +94,15 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("_tie", F.xxhash64("text"))
     half = F.expr("n_chars div 2").cast("int")
     rows = (
-        with_next(with_fingerprint(docs, "text", "fp"), "doc_id", {"_next": "text", "next_fp": "fp"}, "_tie")
+        with_next(docs, "doc_id", "text", "next", "_tie")
         .withColumn("n_chars", F.char_length("text").cast("long"))
         .withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")),
-                                       F.substring(F.col("_next"), F.lit(1), half)))
-        .drop("text", "_next")
+                                       F.substring(F.col("next"), F.lit(1), half)))
     )
-    return with_fingerprint(rows, "edited", "edited_fp").select(
+    # only texts were moved; the fingerprint of the next document is computed again where it is needed
+    for text, name in (("text", "fp"), ("edited", "edited_fp"), ("next", "next_fp")):
+        rows = with_fingerprint(rows, text, name)
+    return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text("fp").alias("fingerprint"), as_text("edited_fp").alias("edited_fingerprint"),
         likeness("fp", "edited_fp").alias("near_edited"), likeness("fp", "next_fp").alias("near_next"))
