@@ -61,6 +61,24 @@ def ragged(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, kind))
 
 
+def joined_words(words: Words, keep: np.ndarray) -> pa.Array:
+    """The kept words of every text, one space between them."""
+    n = len(words.bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(words.bounds))[keep]
+    starts, ends = words.starts[keep], words.ends[keep]
+    edges = np.zeros(len(words.raw) + 1, np.int8)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, ends, -1)
+    mask = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+    out = words.raw.copy()
+    # a word that is followed by another kept one in its text has a blank behind it
+    blank = ends[:-1][owner[:-1] == owner[1:]]
+    mask[blank] = True
+    out[blank] = 0x20
+    at = np.concatenate([[0], np.cumsum(mask)])[words.at].astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(at.tobytes()), pa.py_buffer(out[mask].tobytes()))
+
+
 # --- words -----------------------------------------------------------------------------------
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -139,10 +157,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 BLOOM_BITS = 25
 
 
-def bloom(keys: DataFrame, key: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """Bloom filter of a long column, folded by Spark into at most 2**bits / 64 rows before it is fetched."""
-    h = F.xxhash64(F.col(key))
-    spots = keys.select(F.explode(F.array(*[F.shiftrightunsigned(h, s).bitwiseAND((1 << bits) - 1) for s in (0, 32)])).alias("spot"))
+def bloom(keys: DataFrame, hashed: Column, bits: int = BLOOM_BITS) -> np.ndarray:
+    """Bloom filter of 64-bit hashes, folded by Spark into at most 2**bits / 64 rows before it is fetched."""
+    spots = keys.select(F.explode(F.array(*[F.shiftrightunsigned(hashed, s).bitwiseAND((1 << bits) - 1) for s in (0, 32)])).alias("spot"))
     folded = spots.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("bits"))
     got = folded.toPandas()
     words = np.zeros(1 << (bits - 6), np.int64)
@@ -151,7 +168,7 @@ def bloom(keys: DataFrame, key: str, bits: int = BLOOM_BITS) -> np.ndarray:
 
 
 def in_bloom(words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """``hashed``: xxhash64 of the keys, as Spark gives it."""
+    """Which hashes may be among those of the filter."""
     h = hashed.view(np.uint64)
     mask = np.uint64(len(words) * 64 - 1)
     found = np.ones(len(h), bool)

@@ -191,7 +191,7 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
 
 def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
     """Stored table of doc_id and its set (sorted little-endian 64-bit hashes) for the members."""
-    words = bloom(members, "doc_id")
+    words = bloom(members, F.col("_h"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

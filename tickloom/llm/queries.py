@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, hilbert, orc_tokens, warc, winnow
+from tickloom.llm import bpe, hilbert, jaccard, orc_tokens, passages, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -24,6 +24,15 @@ def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_key").alias("refers_to"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = passages.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -41,6 +50,8 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_orc_tokens": op1_orc_tokens,
     "op3_arc_to_warc": op3_arc_to_warc,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op6_passages": op6_passages,
     "op7_winnowing": op7_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
@@ -54,4 +65,35 @@ ORACLE: dict[str, str] = {
                case when n >= 100 and first < page_id then 'revisit' else 'response' end as record_type,
                case when n >= 100 and first < page_id then first end as refers_to
         from p join f using (d)""",
+    "op4_jaccard_join": """
+        with recursive words as (
+            select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+        sets as (
+            select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                   else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s from words),
+        sizes as (select doc_id, len(s)::bigint as n from sets),
+        items as (select doc_id, unnest(s) as s from sets),
+        common as (select a.doc_id as a, b.doc_id as b, count(*) as c from items a join items b on a.s = b.s and a.doc_id < b.doc_id group by all),
+        links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+        sides as (select a, b from links union all select b, a from links),
+        reach(node, root) as (select doc_id, doc_id from documents union select sides.b, reach.root from reach join sides on sides.a = reach.node)
+        select doc_id, n as n_shingles, (select min(root) from reach where node = doc_id) as component_id from sizes""",
+    "op6_passages": """
+        with words as (
+            select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+        starts as (select doc_id, unnest(range(1, len(w) - 48)) as p from words where len(w) >= 50),
+        windows as (select doc_id, p, array_to_string(w[p:p + 49], ' ') as t from starts join words using (doc_id)),
+        firsts as (select t, min(doc_id) as first from windows group by t),
+        gone as (select doc_id, p from windows join firsts using (t) where first < doc_id),
+        places as (select doc_id, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from words),
+        marked as (
+            select doc_id, p, word, max(case when gone.p is not null then 1 else 0 end)
+                   over (partition by doc_id order by p rows between 49 preceding and current row) as hit
+            from places left join gone using (doc_id, p)),
+        kept as (
+            select doc_id, count(*) as n_words, sum(hit) as n_removed, coalesce(string_agg(word, ' ' order by p) filter (hit = 0), '') as t
+            from marked group by doc_id)
+        select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+        from documents left join kept using (doc_id)""",
 }
