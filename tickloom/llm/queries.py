@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, hilbert, jaccard, orc_tokens, passages, warc, winnow
+from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -16,6 +16,10 @@ def op1_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.catalogue(orc_tokens.read_tokens(spark, path))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, out = shared_dir(spark, "arc"), shared_dir(spark, "warc")
     warc.write_arc(table(spark, sf_dir, "pages"), arc)
@@ -37,6 +41,11 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations hold no quotes, so they are first given the form of a mail archive, every message and its whole text."""
+    return quoting.linked_messages(quoting.as_replies(table(spark, sf_dir, "conversations")))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -49,10 +58,12 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_orc_tokens": op1_orc_tokens,
+    "op2_decontamination": op2_decontamination,
     "op3_arc_to_warc": op3_arc_to_warc,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_passages": op6_passages,
     "op7_winnowing": op7_winnowing,
+    "op8_quotation_links": op8_quotation_links,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
@@ -96,4 +107,40 @@ ORACLE: dict[str, str] = {
             from marked group by doc_id)
         select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
         from documents left join kept using (doc_id)""",
+    "op2_decontamination": """
+        with dw as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from documents),
+        iw as (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from benchmark),
+        ds as (select doc_id, unnest(range(0, len(w) - 4)) as place,
+                      unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s from dw where len(w) >= 5),
+        sizes as (select doc_id, len(w) - 4 as n from dw),
+        bag as (select item_id, len(w) - 4 as m, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+                from iw where len(w) >= 5),
+        counts as (select item_id, m, s, count(*) as c from bag group by all),
+        hits as (select doc_id, item_id, m, place, s, c from ds join counts using (s)),
+        starts as (select distinct doc_id, item_id, m, unnest(range(greatest(0, place - m + 1), place + 1)) as start from hits),
+        inside as (select t.doc_id, t.item_id, t.m, t.start, h.s, any_value(h.c) as c, count(*) as n
+                   from starts t join sizes z on z.doc_id = t.doc_id and t.start + t.m <= z.n
+                   join hits h on h.doc_id = t.doc_id and h.item_id = t.item_id and h.place >= t.start and h.place < t.start + t.m group by all),
+        scored as (select doc_id, item_id, m, start, sum(least(c, n)) as matched from inside group by all),
+        best as (select doc_id, item_id, any_value(m) as m, max(matched) as matched, arg_min(start, (-matched, start)) as start
+                 from scored where 10 * matched >= 8 * (2 * m - matched) group by all)
+        select doc_id, item_id, start::int as start, matched::int as matched, m::int as n_shingles, matched::double / (2 * m - matched) as similarity from best""",
+    "op8_quotation_links": """
+        with recursive said as (select conv_id, turn, role, coalesce(text, '') as t from conversations),
+        own as (select conv_id, turn, unnest(string_split(t, chr(10))) as line from said),
+        normal as (select conv_id, turn, lower(trim(regexp_replace(line, '\\s+', ' ', 'g'))) as norm from own),
+        first as (select conv_id, norm, min(turn) as origin from normal where norm <> '' group by all),
+        quoted as (select conv_id, turn + 1 as turn, 1 as level, norm from normal union all select conv_id, turn + 2, 2, norm from normal),
+        lines as (select q.conv_id, q.turn, q.norm, min(level) as level from quoted q join said m on m.conv_id = q.conv_id and m.turn = q.turn
+                  where norm <> '' group by all),
+        found as (select l.conv_id, l.turn, l.level, f.origin from lines l left join first f on f.conv_id = l.conv_id and f.norm = l.norm and f.origin < l.turn),
+        parents as (select conv_id, turn, count(*) as n_quoted, count(origin) as n_linked,
+                           arg_max(origin, (-level, origin)) filter (origin is not null) as parent_turn from found group by all),
+        paths(conv_id, turn, root, depth) as (
+            select s.conv_id, s.turn, s.turn, 0 from said s left join parents p using (conv_id, turn) where p.parent_turn is null
+            union all select p.conv_id, p.turn, paths.root, paths.depth + 1 from paths join parents p on p.conv_id = paths.conv_id and p.parent_turn = paths.turn)
+        select s.conv_id, s.turn, s.role, p.parent_turn, paths.root as thread_root, paths.depth::int as depth,
+               coalesce(p.n_quoted, 0)::bigint as n_quoted, coalesce(p.n_linked, 0)::bigint as n_linked,
+               regexp_replace(s.t, '^\\s+|\\s+$', '', 'g') as body
+        from said s join paths using (conv_id, turn) left join parents p using (conv_id, turn)""",
 }
