@@ -84,6 +84,8 @@ def joined_words(words: Words, keep: np.ndarray) -> pa.Array:
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+_SIGNS = _SPACE.copy()
+_SIGNS[:128] = [not chr(c).isalnum() for c in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240611).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -118,12 +120,15 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a batch of texts: byte ranges, 64-bit hashes, and n + 1 bounds by text."""
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a batch of texts: byte ranges, 64-bit hashes, and n + 1 bounds by text.
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    With ``punctuation``, ASCII punctuation parts words too.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = False, punctuation: bool = False):
         self.raw, self.at = text_bytes(column)
-        raw = _LOWER[self.raw] if lower else self.raw
-        inside = ~_SPACE[raw]
+        self.raw_lower = raw = _LOWER[self.raw] if lower else self.raw
+        inside = ~(_SIGNS if punctuation else _SPACE)[raw]
         edge = np.zeros(len(raw) + 1, bool)
         edge[self.at] = True
         before = np.zeros(len(raw), bool)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, warc, winnow
+from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, toxicity, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -32,6 +32,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = passages.without_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_arc_to_warc": op3_arc_to_warc,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op6_passages": op6_passages,
     "op7_winnowing": op7_winnowing,
     "op8_quotation_links": op8_quotation_links,
