@@ -9,7 +9,8 @@ partition holds one at most, and one of its subsets avoids it: both sets then sh
 Candidates.  No pairs are made within a signature.  Its smallest set is the representative, and every
 other set is compared with that one only.  A pair of others can matter only if one of the two fails
 the comparison; then their differences to the representative must overlap in a number of elements
-that the lengths give, and a join on short prefixes of those differences finds all such pairs.
+that the lengths give, and a join on short prefixes of those differences, rare elements first, finds
+all such pairs.
 Every candidate is compared exactly, so the links found connect exactly what all links connect.
 
 Sets are hashed: two different n-grams count as one if their 64-bit hashes agree.
@@ -21,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import Words, bloom, chunks, components, in_bloom, mix, ragged, run_hashes, signed, store
@@ -176,13 +177,20 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     near = store(_compare(stars.withColumnRenamed("doc_id", "a").withColumnRenamed("rep", "b"), sets, percent, True), "stars-compared")
     linked = near.filter("linked").select("a", "b")
 
-    # pairs of two documents of one star: common elements in the prefixes of their differences
-    prefixes = near.select("a", "b", "linked", F.explode("prefix").alias("e"))
-    strict, loose = prefixes.filter("e.strict"), prefixes
-    left = strict.filter("not linked").select("b", F.col("e.h").alias("h"), F.col("a").alias("x"))
-    both = left.join(strict.filter("not linked").select("b", F.col("e.h").alias("h"), F.col("a").alias("y")), ["b", "h"]).filter("x < y")
-    wide = loose.filter("not linked").select("b", F.col("e.h").alias("h"), F.col("a").alias("x"))
-    mixed = wide.join(strict.filter("linked").select("b", F.col("e.h").alias("h"), F.col("a").alias("y")), ["b", "h"]).filter("x <> y")
+    # pairs of two documents of one star: common elements in the prefixes of their differences, rare elements first
+    open_ = near.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("u")).filter("n > 1 and u > 0").select("b")
+    apart = store(near.join(open_, "b", "left_semi")
+                  .select("a", "b", "linked", "wide", "strict", "f", F.size("difference").alias("d"), F.explode("difference").alias("h")), "differences")
+    often = apart.groupBy("b", "h").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("b", "a").orderBy("n", "h"))
+    prefix = apart.join(often, ["b", "h"]).withColumn("at", rank).filter("at <= wide")
+    prefix = store(prefix.select("b", "h", F.col("a").alias("x"), "linked", (F.col("at") <= F.col("strict")).alias("near"), "f", (F.col("d") - F.col("at")).alias("left")), "prefixes")
+    other = prefix.select("b", "h", F.col("x").alias("y"), F.col("linked").alias("y_linked"), F.col("near").alias("y_near"), F.col("f").alias("y_f"), F.col("left").alias("y_left"))
+    # behind their first common element two differences can have no more in common than the shorter rest
+    enough = f"{2 * (100 + percent)} * (1 + least(left, y_left)) >= f + y_f"
+    failed = prefix.filter("not linked")
+    both = failed.filter("near").join(other.filter("not y_linked and y_near"), ["b", "h"]).filter(f"x < y and {enough}")
+    mixed = failed.join(other.filter("y_linked"), ["b", "h"]).filter(f"x <> y and {enough}").select("x", "y")
     rest = both.select("x", "y").union(mixed.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
     rest = store(rest.select(F.col("x").alias("a"), F.col("y").alias("b")), "rest")
     more = _compare(rest, sets, percent, False).filter("linked").select("a", "b")
@@ -207,7 +215,8 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int, prefixes: bool) -> DataFrame:
-    """Adds ``linked`` to pairs (a, b) and, for stars, the prefix of a's difference to b.
+    """Adds ``linked`` to pairs (a, b) and, for stars, a's ``difference`` to b and how many of its rarest elements matter:
+    ``wide`` of them for links with linked members, ``strict`` for those with members that are not linked.
 
     With D the elements that are in one of a and b only, 100 * common >= percent * all says F(a) + F(b) <= 0
     for F(b) = -q|b| and F(a) = Q|D| - q|a|, where q = 100 - percent and Q = 100 + percent.  For two members
@@ -215,41 +224,33 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int, prefixes: bool) ->
     """
     low, high = 100 - percent, 100 + percent
 
-    def one(a: bytes, b: bytes) -> tuple[bool, np.ndarray, np.ndarray]:
+    def one(a: bytes, b: bytes) -> tuple[bool, int, int, int, np.ndarray]:
         x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
         spot = np.minimum(np.searchsorted(y, x), len(y) - 1)
         common = y[spot] == x
         d = len(x) + len(y) - 2 * int(common.sum())
         linked = low * (len(x) + len(y)) >= high * d
         if not prefixes:
-            return linked, x[:0], np.zeros(0, bool)
+            return linked, 0, 0, 0, x[:0]
         inside = np.zeros(len(y), bool)
         inside[spot[common]] = True
-        # what a adds comes first: it is rarer among the members than what a lacks
-        difference = np.concatenate([x[~common], y[~inside]])
         f = high * d - low * len(x)
-        # overlap needed with a member that is not linked to b; and, if this one is not, with one that is
+        # overlap needed with a member that is not linked to b; and, if this one is not, with one that is.  Sets with
+        # an overlap of ``o`` share one of the first d - o + 1 elements in any common order
         need = max(1, -(-(f + low * len(y) + 1) // (2 * high)))
         wide = need if linked else max(1, -(-(f - low * len(y)) // 200))
-        keep, strict = max(0, d - wide + 1), max(0, d - need + 1)
-        return linked, difference[:keep], np.arange(keep) < strict
+        return linked, max(0, d - wide + 1), max(0, d - need + 1), f, np.concatenate([x[~common], y[~inside]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, values, stricts, cuts = [], [], [], [0]
-            for a, b in zip(batch.column("x"), batch.column("y"), strict=True):
-                yes, value, strict = one(a.as_buffer(), b.as_buffer())
-                linked.append(yes)
-                values.append(value)
-                stricts.append(strict)
-                cuts.append(cuts[-1] + len(value))
+            got = [one(a.as_buffer(), b.as_buffer()) for a, b in zip(batch.column("x"), batch.column("y"), strict=True)]
+            linked, wide, strict, fs, values = zip(*got, strict=True) if got else ((), (), (), (), ())
             out = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())]
             if prefixes:
-                elements = pa.StructArray.from_arrays(
-                    [pa.array(signed(np.concatenate(values or [np.zeros(0, np.uint64)]))), pa.array(np.concatenate(stricts or [np.zeros(0, bool)]))], ["h", "strict"])
-                out.append(pa.ListArray.from_arrays(pa.array(np.array(cuts, np.int32)), elements))
-            yield pa.RecordBatch.from_arrays(out, ["a", "b", "linked", "prefix"][:len(out)])
+                cuts = np.concatenate([[0], np.cumsum([len(v) for v in values])])
+                out += [pa.array(wide, pa.int32()), pa.array(strict, pa.int32()), pa.array(fs, pa.int64()), ragged(signed(np.concatenate([*values, np.zeros(0, np.uint64)])), cuts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(out, ["a", "b", "linked", "wide", "strict", "f", "difference"][:len(out)])
 
     with_sets = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b") \
         .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").select("a", "b", "x", "y")
-    return with_sets.mapInArrow(run, "a long, b long, linked boolean" + ", prefix array<struct<h: long, strict: boolean>>" * prefixes)
+    return with_sets.mapInArrow(run, "a long, b long, linked boolean" + ", wide int, strict int, f long, difference array<long>" * prefixes)
