@@ -43,12 +43,10 @@ def corpus(seed, docs=80):
 
 
 @pytest.mark.parametrize(("seed", "split"), [(1, False), (2, False), (3, True)])
-def test_against_brute_force(spark, seed, split, monkeypatch):
-    if split:  # all minimizers with more than two segments are split
-        monkeypatch.setattr(passages, "SPLIT_LEAST", 2)
-        monkeypatch.setattr(passages, "SPLIT_SHARE", 1 << 40)
+def test_against_brute_force(spark, seed, split):
     data = corpus(seed)
-    got = passages.without_repeats(spark.createDataFrame(data, DOCS), ["row"], window=12, gram=5, shard_words=500).drop("row")
+    # shards of 30 words: every minimizer with more than one segment is split
+    got = passages.without_repeats(spark.createDataFrame(data, DOCS), ["row"], window=12, gram=5, shard_words=30 if split else 500).drop("row")
     assert sorted(map(tuple, got.collect())) == brute(data, 12)
 
 

@@ -4,7 +4,7 @@ Equal windows have equal minimizers (the smallest hash of the n-grams inside), s
 the same minimizer form a segment, and segments go to shards by minimizer.  A minimizer that only one
 document has cannot repeat and is dropped first.  Each shard builds an FM-index over its segments and
 streams them through backward search; the intervals of ``window`` words tell the smallest document that has
-the window.  A minimizer with very many segments is split: its windows go to shards one by one.
+the window.  A minimizer whose different segments would fill a shard is split: its windows go to shards one by one.
 
 Words are 48-bit hashes in the index, 64-bit in the minimizers; equal windows are always found, and two
 different ones count as equal only if hashes collide in both.
@@ -27,8 +27,8 @@ WINDOW, GRAM = 50, 20
 RUN = 256
 #: Words of a shard that its size aims at.
 SHARD_WORDS = 1_500_000
-#: A minimizer is split if more than one in so many segments, and more than so many at all, have it.
-SPLIT_SHARE, SPLIT_LEAST = 1_000, 1_000
+#: A minimizer is split if its different segments alone fill a shard and are more than one in so many of all.
+SPLIT_SHARE = 100_000
 
 _SEGMENT = ["route", "content_hash", "doc_id", "row", "start", "windows", "content"]
 
@@ -57,16 +57,20 @@ def _segments(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def repeated_minimizers(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Stored table (key, n) of minimizers that two documents at least have, with their segments."""
+    """Stored table (key, n, contents) of minimizers that two documents at least have: their segments, and how many differ."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            text, _, _, key = _segments(Words(part.column("text")), window, gram)
+            words = Words(part.column("text"))
+            text, start, windows, key = _segments(words, window, gram)
+            first = words.bounds[text] + start
+            content = run_hashes(words.hashes, first, first + windows + window - 1)
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(ids[text])], ["key", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(content)), pa.array(ids[text])], ["key", "content", "doc_id"])
 
-    rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key long, doc_id long")
-    counts = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
-    return store(counts.filter("low < high").select("key", "n"), "minimizers")
+    rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key long, content long, doc_id long")
+    counts = rows.groupBy("key", "content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("contents"))
+    return store(counts.filter("low < high").select("key", "n", "contents"), "minimizers")
 
 
 def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -77,8 +81,8 @@ def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words
     keys = repeated_minimizers(docs, window, gram)
     total = keys.agg(F.sum("n").alias("n")).first()["n"] or 0
     # by its rule this list never has more than SPLIT_SHARE keys
-    most = max(SPLIT_LEAST, total // SPLIT_SHARE)
-    split = np.sort(np.array([r["key"] for r in keys.filter(F.col("n") > most).select("key").collect()], np.int64))
+    most = max(shard_words // (window + 16), total // SPLIT_SHARE)
+    split = np.sort(np.array([r["key"] for r in keys.filter(F.col("contents") > most).select("key").collect()], np.int64))
     maybe = bloom(keys, F.col("key"))
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
