@@ -7,6 +7,7 @@ are read by several tasks.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -25,8 +26,8 @@ ORC = {
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
-#: Words a task keeps with their ids; beyond it the memory starts anew, which costs time only.
-KEPT_WORDS = 300_000
+#: Words a Python worker keeps with their ids.  When there are more, those met once are forgotten, which costs time only.
+KEPT_WORDS = 500_000
 LONG_WORD = 64
 
 _LOADED: dict[str, "WordTokenizer"] = {}
@@ -45,26 +46,68 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         special = sorted((i, t.content) for i, t in self.library.get_added_tokens_decoder().items() if t.special)
         self.mark_id, self.mark = special[0] if special else (None, None)
+        model = json.loads(self.library.to_str())["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.is_end = np.zeros(self.library.get_vocab_size(True) + 1, bool)
+        self.is_end[[i for t, i in model["vocab"].items() if suffix and t.endswith(suffix)]] = True
         self.kept: dict[str, bytes] = {}
+        self.again: dict[str, bytes] = {}
 
-    def _fresh(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words.  They go to the library as one text with a special token between them: it cuts
-        a text at special tokens before any other rule, so each word is encoded by itself."""
-        if self.mark is None or any(self.mark in w for w in words):
-            return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        ids = np.array(self.library.encode(self.mark.join(words), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(ids == self.mark_id)
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _cut(self, ids: np.ndarray, ends: np.ndarray, skip: int) -> list[bytes]:
+        """``ids`` cut before each of ``ends``; ``skip`` ids are left out there."""
         flat = ids.tobytes()
-        return [flat[4 * a:4 * b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
+        return [flat[4 * a:4 * b] for a, b in zip([0, *(ends + skip).tolist()], [*ends.tolist(), len(ids)], strict=True)]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words, each as if it were a text.
+
+        Many words go to the library as one text.  Plain words are one piece each, whose last token bears the
+        vocabulary's end of word.  Between others stands a special token: the library cuts a text at special tokens
+        before any other rule.
+        """
+        plain = [w for w in words if w.isascii() and w.isalpha() and w.islower()]
+        out: dict[str, bytes] = {}
+        if plain:
+            ids = self._ids(" ".join(plain))
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(plain) and ends[-1] == len(ids):
+                out = dict(zip(plain, self._cut(ids, ends[:-1], 0), strict=True))
+        rest = [w for w in words if w not in out]
+        if rest and (self.mark is None or any(self.mark in w for w in rest)):
+            return out | {w: self._ids(w).tobytes() for w in rest}
+        if rest:
+            ids = self._ids(self.mark.join(rest))
+            out.update(zip(rest, self._cut(ids, np.flatnonzero(ids == self.mark_id), 1), strict=True))
+        return out
+
+    def _fresh(self, words: list[str]) -> None:
+        """Adds the ids of words.  ASCII words are looked up in lower case, and a full stop or comma that follows a
+        letter and ends the word is a piece of its own, so that fewer different words reach the library."""
+        parts = []
+        for w in words:
+            base = w.lower() if w.isascii() else w
+            if base[-1:] in (".", ",") and base[-2:-1].isalpha():
+                parts.append((w, base[:-1], base[-1]))
+            else:
+                parts.append((w, base, ""))
+        unknown = {p for part in parts for p in part[1:] if p not in self.kept}
+        if unknown:
+            self.kept.update(self._words(list(unknown)))
+        self.kept.update((w, self.kept[a] + self.kept[b]) for w, a, b in parts)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         seen = set().union(*words)
-        fresh = [w for w in seen if w not in self.kept]
+        known = seen & self.kept.keys()
+        self.again.update((w, self.kept[w]) for w in known)
+        fresh = list(seen - known)
         if len(self.kept) + len(fresh) > KEPT_WORDS:
-            self.kept = {}
-            fresh = list(seen)
-        self.kept.update(zip(fresh, self._fresh(fresh), strict=True))
+            self.kept = dict(self.again) if len(self.again) <= KEPT_WORDS // 2 else {w: self.again[w] for w in known}
+            self.again = {}
+        self._fresh(fresh)
         out = [b"".join(map(self.kept.__getitem__, ws)) for ws in words]
         for w in fresh:
             if len(w) > LONG_WORD:
