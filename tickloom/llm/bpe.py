@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tickloom.llm.common import chunks
+from tickloom.llm.common import chunks, ragged
 
 #: Fixed value: the word pattern of this kind of vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -135,8 +135,8 @@ def loaded(path: str) -> ByteBpe:
     return _LOADED[path]
 
 
-def encode_documents(docs: DataFrame, path: str, decode: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every text; ``ids`` is binary, little-endian unsigned 32-bit.
+def encode_documents(docs: DataFrame, path: str, decode: bool = False, arrays: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every text; ``ids`` is binary, little-endian unsigned 32-bit, or with ``arrays`` a list.
 
     With ``decode`` the ids are decoded again in the same pass, as ``decoded``.  Null and empty texts have
     no tokens.  Strings of the vocabulary's special tokens in a text become those tokens.  A row is
@@ -146,14 +146,16 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False) -> DataFr
         bpe = loaded(path)
         for part in chunks(batches):
             ids = bpe.encode([t or "" for t in part.column("text").to_pylist()])
-            out = [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            out = [part.column("doc_id"), pa.array(n), ragged(np.frombuffer(b"".join(ids), "<i4"), np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                   if arrays else pa.array(ids, pa.binary())]
             names = ["doc_id", "n_tokens", "ids"]
             if decode:
                 out.append(pa.array(map(bpe.decode, ids), pa.string()))
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, ids {'array<int>' if arrays else 'binary'}" + ", decoded string" * decode)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:

@@ -143,6 +143,12 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, links: boo
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns, that have the smallest id of their component; rows without an id stay."""
+    rest = similar_documents(docs, n, percent).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(store(rest, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def _nodes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Stored table of doc_id, n_shingles, two hashes of the set, signatures."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

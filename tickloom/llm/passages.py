@@ -211,3 +211,15 @@ def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW
     moved = rows.mapInArrow(parts(True), rows.schema).join(spans, ["doc_id", "row"], "left")
     result = still.mapInArrow(cut, out).unionByName(moved.mapInArrow(cut, out))
     return result.select("doc_id", "kept", "n_words", "n_removed", *[F.col(f"carried.`{c}`").alias(c) for c in carry])
+
+
+def with_repeats_cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The documents, all columns: texts that lose words become what ``kept`` holds, the others stay as they are.
+
+    ``n_chars`` follows the text.  A text that is a repeat from end to end becomes empty; its row stays.
+    """
+    left = without_repeats(docs, [c for c in docs.columns if c != "doc_id"], window, gram)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    out = left.withColumn("_text", text)
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))}
+    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])

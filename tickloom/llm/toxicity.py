@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from tickloom.llm.common import Words, chunks, mix, run_hashes
 
@@ -298,16 +299,19 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
         .select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
-def with_scores(docs: DataFrame, model: Network | float) -> DataFrame:
-    """The rows with ``score``, any columns they have."""
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents, all columns, with a score below 0.5."""
+    return with_scores(docs, train(*sample(docs, labels, rows)), "_score").filter("_score < 0.5").drop("_score")
+
+
+def with_scores(docs: DataFrame, model: Network | float, name: str = "score") -> DataFrame:
+    """The rows with their score, any columns they have."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the input
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for part in chunks(batches):
             score = np.full(part.num_rows, net) if isinstance(net, float) else net.text_scores(part.column("text"))
-            yield part.append_column("score", pa.array(score, pa.float64()))
-
-    from pyspark.sql.types import DoubleType, StructType
+            yield part.append_column(name, pa.array(score, pa.float64()))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add("score", DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))
