@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pandas as pd
@@ -90,6 +91,49 @@ def test_rsi_is_null_while_there_has_been_no_loss(spark):
     assert [r["rsi_14"] is None for r in rows] == [True, True, True, False, False]
 
 
+def flat(rows, then=()):
+    return {"FLAT": walk(200, 9) + [50.0] * rows + list(then)}
+
+
+def plain_rsi(closes):
+    """The definition, with exact fractions of the two sums kept in one exponent."""
+    up = down = 0.0
+    out = []
+    for i, (before, now) in enumerate(zip([None, *closes], closes)):
+        if before is not None:
+            weight = 7.5 if i == 1 else 1  # the first move starts the averages
+            up, down = up * 13 / 15 + weight * max(now - before, 0), down * 13 / 15 + weight * max(before - now, 0)
+            scale = max(up, down)
+            if 0 < scale < 1e-100:
+                up, down = up / scale, down / scale
+        out.append(None if down == 0 else 100 - 100 / (1 + up / down))
+    return out
+
+
+@pytest.mark.parametrize("block_rows,warmup", [(700, 700), (1024, 1024), (4096, 1024)])
+def test_rsi_keeps_its_ratio_through_a_long_halt(spark, block_rows, warmup):
+    data = flat(6800)
+    rows = as_dicts(I.add_indicators(bars(spark, data, "1m", dt.timedelta(minutes=1)), ["rsi_14"], block_rows=block_rows, warmup=warmup), "window_start")
+    want = plain_rsi([v[0] if isinstance(v, tuple) else v for v in data["FLAT"]])
+    assert len({r["rsi_14"] for r in rows[300:]}) == 1 and rows[-1]["rsi_14"] is not None
+    assert all((a["rsi_14"] is None) == (b is None) and (b is None or abs(a["rsi_14"] - b) < 1e-4) for a, b in zip(rows, want))
+
+
+def test_rsi_after_a_long_rise_is_100_whatever_the_blocks(spark):
+    data = {"RISE": [5.0, 4.0] + [4.0 + i / 8 for i in range(1, 7000)]}
+    for block_rows, warmup in [(2048, 1024), (4096, 1024)]:
+        rows = as_dicts(I.add_indicators(bars(spark, data, "1m", dt.timedelta(minutes=1)), ["rsi_14"], block_rows=block_rows, warmup=warmup), "window_start")
+        assert rows[0]["rsi_14"] is None and all(r["rsi_14"] == 100.0 for r in rows[400:])
+
+
+def test_bars_of_a_null_series_get_indicators(spark):
+    some = bars(spark, {"A": [1.0, 2.0, 1.5]})
+    both = some.unionByName(some.withColumn("bar_interval", F.lit(None).cast("string")))
+    rows = as_dicts(I.add_indicators(both, ["daily_return_pct", "rsi_14"]), "bar_interval", "window_start")
+    assert [r["daily_return_pct"] for r in rows] == [None, 100.0, -25.0] * 2
+    assert [r["rsi_14"] for r in rows[:3]] == [r["rsi_14"] for r in rows[3:]] and rows[2]["rsi_14"] is not None
+
+
 def test_intervals_are_series_of_their_own(spark):
     both = bars(spark, {"A": [1.0, 2.0]}).unionByName(bars(spark, {"A": [10.0, 30.0]}, interval="1m"))
     rows = as_dicts(I.add_indicators(both, ["daily_return_pct"]), "bar_interval", "window_start")

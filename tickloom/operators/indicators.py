@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import ratio, rnd
-from tickloom.operators.ema import WARMUP_ROWS, ema
+from tickloom.operators.ema import (
+    WARMUP_ROWS, check_span, decayed_before, ema, log_add, log_decayed, seed_weight,
+)
 from tickloom.operators.ordered import (
     BLOCK_ROWS, bar_bucket, block_window, into_blocks, own_rows, with_positions,
 )
@@ -36,6 +39,9 @@ def add_indicators(
     back = warmup if _NEED_EMA & set(wanted) else _FRAME_ROWS
     placed = with_positions(bars, SERIES, ["window_start"], bar_bucket())
     blocks = into_blocks(placed, back=back, block_rows=block_rows)
+    if back == warmup:
+        for span in (9, 12, 26):
+            check_span(span, block_rows, warmup)
 
     first = F.greatest(F.lit(0), F.col("block") * block_rows - back)
     blocks = blocks.withColumn("_row", F.col("pos") - first)
@@ -85,19 +91,28 @@ def add_indicators(
         "volume_zscore": rnd(F.col("_score"), 4),
     })
 
-    # layer 2: windows over layer 1; the first gain and loss belong to the second row
-    second = F.col("_row") == 2
+    # layer 2: windows over layer 1
     layer2 = between.withColumns({
         "_ret_n7": F.count("_return").over(week), "_ret_std7": F.stddev_samp("_return").over(week),
         "_signal": ema(F.col("macd"), 9, over, index, starts),
-        "_up": ema(F.col("_gain"), 14, over, index, second),
-        "_down": ema(F.col("_loss"), 14, over, index, second),
+        "_up": log_decayed(F.col("_gain") * seed_weight(14), 14, over, index),
+        "_down": log_decayed(F.col("_loss") * seed_weight(14), 14, over, index),
     })
+    if "rsi_14" in wanted:
+        # the averages are a common factor of these sums; what lies before a block's rows is added as it really is
+        earlier = decayed_before(placed, SERIES, 14, block_rows, back)
+        layer2 = layer2.withColumn("series", F.struct(*[F.col(k) for k in SERIES], F.lit(0).alias("_all"))) \
+            .join(earlier, ["series", "block"], "left").drop("series")
+    else:
+        layer2 = layer2.withColumns({"_up_before": F.lit(None).cast("double"), "_down_before": F.lit(None).cast("double")})
+    fade = (F.col("_row") - 1) * math.log(1.0 - 2.0 / 15)
+    strength = F.exp(log_add(F.col("_up"), F.col("_up_before") + fade) - log_add(F.col("_down"), F.col("_down_before") + fade))
+    falls = log_add(F.col("_down"), F.col("_down_before") + fade).isNotNull()
     done = layer2.withColumns({
         "volatility_7d": F.when(F.col("_ret_n7") == 7, rnd(F.col("_ret_std7"), 6)),
         "macd_signal": rnd(F.col("_signal"), 4),
-        # NULL, not 100, while there has been no loss
-        "_rsi": 100 - 100 / (1 + ratio(F.col("_up"), F.col("_down"))),
+        # NULL, not 100, while there has been no loss; without a gain the strength is zero
+        "_rsi": F.when(falls, 100 - 100 / (1 + F.coalesce(strength, F.lit(0.0)))),
     }).withColumns({
         "rsi_14": rnd(F.col("_rsi"), 4),
         "macd_histogram": rnd(F.col("macd") - F.col("macd_signal"), 4),

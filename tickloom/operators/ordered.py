@@ -36,27 +36,28 @@ def with_positions(
     ``bucket`` must not decrease along ``order_by``.  Rows are numbered inside (series, bucket),
     and the short list of bucket sizes gives the offset of each bucket.  No series is gathered:
     the widest group is one bucket.  The numbering and the join with the offsets share one
-    exchange on (series, bucket).
+    exchange on (series, bucket).  Keys are compared as one struct, in which nulls are equal, so
+    a null key is a series of its own and no row is lost.
     """
-    parts = [*keys, "_bucket"]
-    rows = df.withColumn("_bucket", bucket)
+    series = F.struct(*[F.col(k) for k in keys], F.lit(0).alias("_all"))
+    rows = df.withColumn("_part", F.struct(series.alias("series"), bucket.alias("bucket")))
 
     # partial counts first, so what is shuffled is one row per (series, bucket)
-    sizes = rows.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
-    series = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    before = series.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_part.series")
+    before = whole.orderBy("_part.bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *parts,
+        "_part",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(series).alias(total),
+        F.sum("_n").over(whole).alias(total),
     )
 
-    inside = Window.partitionBy(*parts).orderBy(*order_by)
+    inside = Window.partitionBy("_part").orderBy(*order_by)
     return (
         rows.withColumn("_in_bucket", F.row_number().over(inside))
-        .join(offsets, parts, "left")
+        .join(offsets, "_part", "left")
         .withColumn(position, F.col("_offset") + F.col("_in_bucket"))
-        .drop("_bucket", "_offset", "_in_bucket")
+        .drop("_part", "_offset", "_in_bucket")
     )
 
 
