@@ -153,15 +153,14 @@ def test_a_failing_upsert_sink_does_not_stop_bronze(spark, tmp_path, monkeypatch
         raise OSError("database is down")
 
     bars = jobs.live_bars(source(spark, tmp_path / "in"))
-    upserts = jobs.start_upsert(bars, broken, str(tmp_path / "ck-up"), "ws", trigger=DRAIN)
+    upserts = jobs.start_upsert(bars, broken, str(tmp_path / "ck-up"), "ws", trigger=DRAIN, stop_on_error=False)
     landed = bronze(spark, tmp_path)
     upserts.awaitTermination()
     landed.awaitTermination()
     assert upserts.exception() is None
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     with pytest.raises(Exception, match="database is down"):
-        jobs.start_upsert(bars, broken, str(tmp_path / "ck-stop"), "ws", trigger=DRAIN,
-                          stop_on_error=True).awaitTermination()
+        jobs.start_upsert(bars, broken, str(tmp_path / "ck-stop"), "ws", trigger=DRAIN).awaitTermination()
 
 
 def test_rejected_ticks_become_dead_letters(spark, tmp_path):

@@ -41,10 +41,25 @@ def test_wrongly_typed_trades_go_to_dead_letters(spark, changes):
     assert letter["error_reason"] == "validation_failed" and json.loads(letter["original_message"]) == bad
 
 
-def test_dead_letters_are_capped_by_reason(spark):
-    frame = lines(spark, "{" + "x" * 3000, {"type": "trade", "data": [trade(s="", z="y" * 3000)]})
-    sizes = {r["error_reason"]: len(r["original_message"]) for r in as_dicts(FD.feed_dead_letters(frame))}
-    assert sizes == {"invalid_json": 500, "validation_failed": 2000}
+def test_dead_letters_are_whole_unless_a_limit_is_asked_for(spark):
+    bad = trade(s="", z="y" * 3000)
+    frame = lines(spark, "{" + "x" * 3000, {"type": "trade", "data": [bad]})
+    letters = {r["error_reason"]: r["original_message"] for r in as_dicts(FD.feed_dead_letters(frame))}
+    assert letters["invalid_json"] == "{" + "x" * 3000 and json.loads(letters["validation_failed"]) == bad
+    assert {len(r["original_message"]) for r in as_dicts(FD.feed_dead_letters(frame, 500))} == {500}
+
+
+def test_condition_codes_may_be_strings(spark):
+    frame = lines(spark, {"type": "trade", "data": [trade(c=["1", "12"]), trade(c=[3, "4"])]})
+    assert [r["conditions"] for r in as_dicts(FD.unwrap_feed(frame), "line", "element")] == [[1, 12], [3, 4]]
+
+
+def test_trade_data_that_is_no_array_is_a_dead_letter(spark):
+    message = {"type": "trade", "data": "zz"}
+    frame = lines(spark, message, {"type": "ping", "data": "zz"})
+    assert FD.unwrap_feed(frame).count() == 0
+    letters = as_dicts(FD.feed_dead_letters(frame))
+    assert [json.loads(r["original_message"]) for r in letters] == [message]
 
 
 def test_an_element_that_is_no_object_is_rejected(spark):

@@ -3,6 +3,8 @@
 import datetime as dt
 
 import duckdb
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,37 @@ def test_partition_upsert_rewrites_touched_partitions_only(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "d=d2").glob("*.parquet")} == files
 
 
+def test_partition_upsert_keeps_columns_the_update_lacks_and_adds_new_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    U.upsert_partitions(spark.createDataFrame([(1, "x", "p", "d1"), (2, "x", "p", "d1"), (3, "x", "p", None)], "k int, a string, b string, d string"), path, ["k", "d"], "d")
+    U.upsert_partitions(spark.createDataFrame([(2, "y", 7, "d1"), (4, "z", 8, None)], "k int, a string, c int, d string"), path, ["k", "d"], "d")
+    rows = spark.read.option("mergeSchema", "true").parquet(path).select("k", "a", "b", "c", "d").orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [(1, "x", "p", None, "d1"), (2, "y", "p", 7, "d1"), (3, "x", "p", None, None), (4, "z", None, 8, None)]
+
+
+def test_partition_upsert_that_dies_while_replacing_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    U.upsert_partitions(spark.createDataFrame([(1, "x", "d1"), (2, "x", "d2")], "k int, a string, d string"), path, ["k", "d"], "d")
+    finish, calls = U.finish_pending, []
+
+    def dying(spark, path, partition):
+        calls.append(path)
+        if len(calls) == 2:  # the old folder is gone, the new one is not there yet
+            shutil.rmtree(tmp_path / "t" / "d=d1")
+            raise OSError("lost")
+        finish(spark, path, partition)
+
+    monkeypatch.setattr(U, "finish_pending", dying)
+    update = spark.createDataFrame([(5, "n", "d1")], "k int, a string, d string")
+    with pytest.raises(OSError):
+        U.upsert_partitions(update, path, ["k", "d"], "d")
+    monkeypatch.setattr(U, "finish_pending", finish)
+    U.upsert_partitions(update, path, ["k", "d"], "d")
+    rows = spark.read.parquet(path).orderBy("k").collect()
+    assert [(r["k"], r["a"], r["d"]) for r in rows] == [(1, "x", "d1"), (2, "x", "d2"), (5, "n", "d1")]
+    assert not (tmp_path / "t" / U.PENDING).exists()
+
+
 @pytest.mark.parametrize("columns", [["k", "a", "b"], ["k"]])
 def test_conflict_statement_agrees_with_the_frame_upsert(spark, columns):
     rows, new = [(1, "x", "y"), (2, "x", "y")], [(2, "n", "n"), (3, "n", "n")]

@@ -8,17 +8,16 @@ from collections.abc import Callable, Sequence
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tickloom.operators.clean import latest_per_key
-from tickloom.session import cut_lineage
+from tickloom.session import shared_dir
 
 log = logging.getLogger(__name__)
 Result = TypeVar("Result")
 
-MAX_LITERAL_PARTITIONS = 1000
-
 
 def upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()
@@ -52,41 +51,99 @@ def insert_missing(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
+#: Hidden file in a table's folder: where the merged rows lie that are being put in place.
+PENDING = "_merged_rows"
+
+
 def upsert_partitions(
     updates: DataFrame, path: str, keys: Sequence[str], partition: str, newest_by: Sequence[str] = ()
 ) -> None:
     """Upsert into a Parquet table partitioned by ``partition``, which must depend on the keys.
 
-    Only partitions that receive rows are read and replaced.  The merged rows are written to the
-    shared folder first: the table is never overwritten while it is being read, and a run that
-    dies half way can simply be repeated.
+    Only partitions that receive rows are read and replaced; columns the updates lack keep their values, and
+    columns the table lacks are added.  The merged rows are written to the shared folder and noted beside the table
+    before anything is replaced.  A run that dies while replacing is finished from that copy by the next one, so
+    no partition is lost; the work folders go once the rows are in place.
     """
     spark = updates.sparkSession
-    incoming = cut_lineage(updates, "upsert-updates")
-    try:
-        stored = spark.read.schema(incoming.schema).parquet(path)
-    except AnalysisException:  # no table yet
+    finish_pending(spark, path, partition)
+    work = shared_dir(spark, "upsert")
+    updates.write.parquet(f"{work}/updates")
+    incoming = spark.read.schema(updates.schema).parquet(f"{work}/updates")
+    stored = _stored(spark, path, incoming, partition)
+    if stored is None:
         merged = latest_per_key(incoming, list(keys), newest_by)
     else:
         current = touched_partitions(stored, incoming, partition)
-        merged = cut_lineage(upsert(current, incoming, keys, newest_by), "upsert-merged")
+        new = [f for f in incoming.schema.fields if f.name not in current.columns]
+        merged = upsert(current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new}), incoming, keys, newest_by)
+    merged.write.parquet(f"{work}/merged")
+    _write_note(spark, path, work)
+    finish_pending(spark, path, partition)
+
+
+def finish_pending(spark: SparkSession, path: str, partition: str) -> None:
+    """Put noted rows in place: the same however often it is done."""
+    work = _read_note(spark, path)
+    if work is None:
+        return
+    merged = spark.read.parquet(f"{work}/merged")
     (
         merged.hint("rebalance", partition).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     )
+    for old in (f"{path}/{PENDING}", work):
+        _file_system(spark, old).delete(_hadoop_path(spark, old), True)
+
+
+def _stored(spark: SparkSession, path: str, incoming: DataFrame, partition: str) -> DataFrame | None:
+    """The table with its own columns; folder names take the type the updates have.  None if there is no table yet."""
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or one without rows
+            return None
+        raise
+    kinds = [StructField(f.name, incoming.schema[partition].dataType if f.name == partition else f.dataType) for f in schema.fields]
+    return spark.read.schema(StructType(kinds)).parquet(path)
 
 
 def touched_partitions(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
     """Rows of ``stored`` in the partitions that ``incoming`` has rows for.
 
-    A few partition values become a literal filter, which prunes folders before anything is read; a
-    join would list and read all of them.  Beyond ``MAX_LITERAL_PARTITIONS`` it is a join.
+    The range of the values prunes folders before anything is read; the join with the distinct values decides.
     """
-    values = incoming.select(partition).distinct()
-    few = [row[0] for row in values.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-    if len(few) <= MAX_LITERAL_PARTITIONS:
-        return stored.filter(F.col(partition).isin(few))
-    return stored.join(values, partition, "left_semi")
+    values = incoming.select(F.col(partition).alias("_value")).distinct()
+    ends = incoming.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
+    inside = F.col(partition).isNull() | F.col(partition).between(F.lit(ends["low"]), F.lit(ends["high"]))
+    return stored.filter(inside).join(values, F.col(partition).eqNullSafe(F.col("_value")), "left_semi")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _write_note(spark: SparkSession, path: str, text: str) -> None:
+    note = f"{path}/{PENDING}"
+    out = _file_system(spark, note).create(_hadoop_path(spark, note), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_note(spark: SparkSession, path: str) -> str | None:
+    note = f"{path}/{PENDING}"
+    files = _file_system(spark, note)
+    if not files.exists(_hadoop_path(spark, note)):
+        return None
+    stream = files.open(_hadoop_path(spark, note))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def on_conflict_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:

@@ -9,21 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions.dates import iso_utc
 from tickloom.schemas import ENVELOPE, TICK_WIRE
 
-# Message size limits of the dead-letter topic.
-MAX_INVALID_JSON_CHARS = 500
-MAX_MESSAGE_CHARS = 2000
-
-
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest"
+    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest", fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """Streaming Kafka source (needs the spark-sql-kafka package on the cluster)."""
+    """Streaming Kafka source (needs the spark-sql-kafka package on the cluster).
+
+    Offsets that the topic no longer holds stop the query, unless ``fail_on_data_loss`` is false.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
     )
 
@@ -49,23 +47,24 @@ def parse_ticks(records: DataFrame) -> DataFrame:
 
 #: A trade element.  Number fields refuse JSON strings; the symbol is read untyped because a text
 #: field would accept any JSON value.
-_TRADE = "s variant, p double, v double, t double, c array<int>"
+_TRADE = "s variant, p double, v double, t double, c array<string>"
 _LONG_LIMIT = float(2 ** 63)
 
 
 def feed_trades(lines: DataFrame) -> DataFrame:
     """Feed messages (column ``value``) -> one row per trade element, valid or not.
 
-    Heartbeats and other message types give no row.  The element text is kept for dead letters;
+    Heartbeats and other message types give no row.  A trade message whose ``data`` is no array gives one row that is
+    not valid, with the whole message.  Condition codes may be numbers or strings of digits.  The element text is kept for dead letters;
     ``valid`` asks for a non-empty string symbol and JSON numbers in range, as the feed promises.
     """
     message = F.from_json("value", ENVELOPE)
     rest = [c for c in lines.columns if c != "value"]
     fields = F.from_json("trade", _TRADE, {"allowNonNumericNumbers": "false"})
     elements = (
-        lines.select(*rest, message.alias("message"))
+        lines.select(*rest, "value", message.alias("message"))
         .filter(F.col("message.type") == "trade")
-        .select(*rest, F.posexplode("message.data").alias("element", "trade"))
+        .select(*rest, F.posexplode(F.coalesce("message.data", F.array("value"))).alias("element", "trade"))
         .select(*rest, "element", "trade", fields.alias("_trade"))
         .select(*rest, "element", "trade", "_trade.*")
     )
@@ -91,29 +90,30 @@ def unwrap_feed(lines: DataFrame, source: str = "feed_ws") -> DataFrame:
         F.col("v").cast("long").alias("volume"),
         millis.alias("timestamp_ms"),
         iso_utc(F.timestamp_millis(millis)).alias("timestamp"),
-        F.coalesce(F.col("c"), F.array().cast("array<int>")).alias("conditions"),
+        F.coalesce(F.filter(F.transform("c", lambda x: x.try_cast("int")), lambda x: x.isNotNull()), F.array().cast("array<int>")).alias("conditions"),
         F.lit(source).alias("source"),
     )
 
 
-def dead_letter(message: Column, reason: str, ticker: Column, limit: int) -> list[Column]:
+def dead_letter(message: Column, reason: str, ticker: Column, limit: int | None = None) -> list[Column]:
+    """The whole message, so that it can be replayed, or its first ``limit`` characters for a topic that asks for it."""
     return [
-        F.substring(message, 1, limit).alias("original_message"),
+        (F.substring(message, 1, limit) if limit else message).alias("original_message"),
         F.lit(reason).alias("error_reason"),
         iso_utc(F.current_timestamp()).alias("timestamp"),
         ticker.cast("string").alias("ticker"),
     ]
 
 
-def feed_dead_letters(lines: DataFrame) -> DataFrame:
+def feed_dead_letters(lines: DataFrame, limit: int | None = None) -> DataFrame:
     """Messages that are not JSON, and trade elements that fail the check."""
     broken = lines.filter(F.col("value").isNotNull() & F.try_parse_json("value").isNull())
     rejected = feed_trades(lines).filter("not valid")
     nobody = F.lit(None)
     return broken.select(
-        *dead_letter(F.col("value"), "invalid_json", nobody, MAX_INVALID_JSON_CHARS)
+        *dead_letter(F.col("value"), "invalid_json", nobody, limit)
     ).unionByName(rejected.select(
-        *dead_letter(F.col("trade"), "validation_failed", F.col("s"), MAX_MESSAGE_CHARS)
+        *dead_letter(F.col("trade"), "validation_failed", F.col("s"), limit)
     ))
 
 
@@ -132,12 +132,12 @@ def feed_counts(lines: DataFrame) -> DataFrame:
     )
 
 
-def tick_dead_letters(rejected: DataFrame) -> DataFrame:
+def tick_dead_letters(rejected: DataFrame, limit: int | None = None) -> DataFrame:
     """Rejected ticks as dead letters."""
     fields = [f for f in TICK_WIRE.fieldNames() if f in rejected.columns]
     text = F.to_json(F.struct(*fields))
     return rejected.select(
-        *dead_letter(text, "validation_failed", F.col("ticker"), MAX_MESSAGE_CHARS)
+        *dead_letter(text, "validation_failed", F.col("ticker"), limit)
     )
 
 

@@ -59,16 +59,15 @@ def start_bronze(
 
 def start_upsert(
     bars: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, source_api: str,
-    trigger: dict = TRIGGER, stop_on_error: bool = False,
+    trigger: dict = TRIGGER, stop_on_error: bool = True,
 ) -> StreamingQuery:
     """Re-emit changed bars and upsert them; repeated bars converge on the final one.
 
-    ``write`` is retried.  If it still fails the batch is logged and skipped unless
-    ``stop_on_error``; the bronze query is a query of its own and goes on either way.
+    ``write`` is retried.  If it still fails the query stops and a restart repeats the batch from its checkpoint; the
+    bronze query is a query of its own and goes on either way.  Without ``stop_on_error`` the batch is logged and
+    skipped, and since finished windows are never sent again, the target then stays without it.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         rows = batch.withColumns({"source_api": F.lit(source_api), "micro_batch": F.lit(batch_id)})
         try:
             with_retry(lambda: write(rows, batch_id))
