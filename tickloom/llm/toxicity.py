@@ -23,7 +23,9 @@ from pyspark.sql.types import DoubleType, StructType
 from tickloom.llm.common import Words, chunks, mix, run_hashes
 
 #: Bounds of the training sample: so many labelled rows, by hash of their id, with texts up to so many bytes.
-SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 50_000
+SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 20_000
+#: Words and texts worked on at once where each stands for many numbers: keeps the memory of training small.
+WORD_BLOCK, TEXT_BLOCK = 10_000, 100
 WINDOW, STRIDE = 40, 30
 WORD_DIM, STATE, GRAMS, GRAM_SIZES = 10, 8, 1 << 16, (3, 5, 6, 7)
 CHANCE, LEAST_TEXTS = 4.5, 4
@@ -76,22 +78,44 @@ def read(column: pa.Array) -> Batch:
     return Batch(names, grams, bounds, windows, firsts)
 
 
+def joined(batches: list[Batch]) -> Batch:
+    """The texts of all batches, with one number for each word."""
+    words, first, number = np.unique(np.concatenate([b.words for b in batches]), return_index=True, return_inverse=True)
+    sizes = np.concatenate([np.diff(b.bounds) for b in batches])
+    begin = np.concatenate([[0], np.cumsum(sizes)])[first]
+    bounds = np.concatenate([[0], np.cumsum(sizes[first])])
+    grams = np.concatenate([b.grams for b in batches])[np.repeat(begin - bounds[:-1], sizes[first]) + np.arange(bounds[-1])]
+    ends = np.cumsum([len(b.words) for b in batches])
+    windows = [np.append(0, number[end - len(b.words):end] + 1).astype(np.int32)[b.windows] for b, end in zip(batches, ends, strict=True)]
+    firsts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b.firsts) for b in batches]))])
+    return Batch(words, grams, bounds, np.concatenate(windows), firsts)
+
+
 def _grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the runs of bytes of each word, with a mark before and behind it, and their bounds by word."""
+    parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for i in range(0, len(starts), WORD_BLOCK):
+        found, count = _block_grams(raw, starts[i:i + WORD_BLOCK], ends[i:i + WORD_BLOCK])
+        parts.append(found)
+        counts.append(count)
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+
+def _block_grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sizes = ends - starts + 2
     at = np.concatenate([[0], np.cumsum(sizes)])
     owner = np.repeat(np.arange(len(sizes)), sizes)
     inside = np.arange(at[-1]) - at[owner]
     edge = (inside == 0) | (inside == sizes[owner] - 1)
-    flat = np.where(edge, np.where(inside == 0, 2, 3), raw[np.where(edge, 0, starts[owner] + inside - 1)] if len(raw) else 0)
+    flat = np.where(edge, np.where(inside == 0, 2, 3), raw[np.where(edge, 0, starts[owner] + inside - 1)])
     values, found, whose = mix(flat.astype(np.uint64) + _GOLD), [], []
     for n in GRAM_SIZES:
         begin = np.flatnonzero(inside <= np.maximum(sizes - n, 0)[owner])
         found.append(run_hashes(values, begin, np.minimum(begin + n, at[1:][owner[begin]])))
         whose.append(owner[begin])
-    order = np.argsort(np.concatenate(whose), kind="stable")
-    return (np.concatenate(found)[order] & np.uint64(GRAMS - 1)).astype(np.int64), \
-        np.searchsorted(np.concatenate(whose)[order], np.arange(len(sizes) + 1))
+    words = np.concatenate(whose)
+    order = np.argsort(words, kind="stable")
+    return (np.concatenate(found)[order] & np.uint64(GRAMS - 1)).astype(np.int32), np.bincount(words, minlength=len(sizes))
 
 
 # --- network ---------------------------------------------------------------------------------
@@ -121,7 +145,10 @@ class Network:
         """Vector of each word number (0: nothing), and the row of each distinct word in the word table."""
         spot = np.minimum(np.searchsorted(self.vocabulary, batch.words), len(self.vocabulary) - 1) if len(self.vocabulary) else np.zeros(len(batch.words), np.int64)
         row = np.where(self.vocabulary[spot] == batch.words, spot, len(self.vocabulary)) if len(self.vocabulary) else spot
-        sums = np.add.reduceat(self.w["gram"][batch.grams], batch.bounds[:-1], axis=0) if len(batch.words) else np.zeros((0, WORD_DIM), np.float32)
+        sums = np.zeros((len(batch.words), WORD_DIM), self.w["gram"].dtype)
+        for i in range(0, len(batch.words), WORD_BLOCK):
+            cuts = batch.bounds[i:i + WORD_BLOCK + 1]
+            sums[i:i + WORD_BLOCK] = np.add.reduceat(self.w["gram"][batch.grams[cuts[0]:cuts[-1]]], cuts[:-1] - cuts[0], axis=0)
         x = self.w["word"][row] + sums / np.sqrt(np.maximum(np.diff(batch.bounds), 1))[:, None].astype(np.float32)
         return np.concatenate([np.zeros((1, WORD_DIM), np.float32), x]).astype(np.float32), row
 
@@ -207,9 +234,8 @@ class Network:
 
 def _evidence(batch: Batch, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words in a few texts at least and how far their share among the marked texts is from that among the others; that of all byte runs."""
-    def gap(text: np.ndarray, thing: np.ndarray, things: int) -> tuple[np.ndarray, np.ndarray]:
-        marked = np.bincount(thing[target[text] == 1], minlength=things)
-        other = np.bincount(thing[target[text] == 0], minlength=things)
+    def gap(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        other, marked = counts
         seen = marked + other
         due = seen * target.mean()
         # signed root of the log-likelihood ratio; what chance gives among so many things is no evidence
@@ -217,17 +243,26 @@ def _evidence(batch: Batch, target: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         root = np.sqrt(2 * np.maximum(ratio, 0))
         return seen, (np.sign(marked - due) * np.clip((root - CHANCE) / 4, 0, 2)).astype(np.float32)
 
-    whose = np.repeat(np.arange(len(target)), np.diff(batch.firsts))
-    pairs = np.unique(np.repeat(whose, WINDOW) * (len(batch.words) + 1) + batch.windows.ravel())
-    text, word = np.divmod(pairs, len(batch.words) + 1)
-    text, word = text[word > 0], word[word > 0] - 1
-    seen, words = gap(text, word, len(batch.words))
+    # in how many texts of each label a word or a run of bytes occurs
+    words, grams = np.zeros((2, len(batch.words)), np.int64), np.zeros((2, GRAMS), np.int64)
+    sizes = np.diff(batch.bounds)
+    for a in range(0, len(target), TEXT_BLOCK):
+        cuts = batch.firsts[a:a + TEXT_BLOCK + 1]
+        whose = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        pairs = np.unique(np.repeat(whose, WINDOW) * (len(batch.words) + 1) + batch.windows[cuts[0]:cuts[-1]].ravel())
+        text, word = np.divmod(pairs, len(batch.words) + 1)
+        text, word = text[word > 0], word[word > 0] - 1
+        many = sizes[word]
+        at = np.repeat(batch.bounds[word] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        found = np.unique(np.repeat(text, many) * GRAMS + batch.grams[at])
+        label = target[a:a + TEXT_BLOCK]
+        for k in (0, 1):
+            words[k] += np.bincount(word[label[text] == k], minlength=len(batch.words))
+            grams[k] += np.bincount(found[label[found // GRAMS] == k] % GRAMS, minlength=GRAMS)
+    seen, word_gap = gap(words)
     often = np.flatnonzero(seen >= LEAST_TEXTS)
-    sizes = np.diff(batch.bounds)[word]
-    at = np.repeat(batch.bounds[word] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-    pairs = np.unique(np.repeat(text, sizes) * GRAMS + batch.grams[at])
-    seen, grams = gap(pairs // GRAMS, pairs % GRAMS, GRAMS)
-    return batch.words[often], words[often], np.where(seen >= LEAST_TEXTS, grams, 0).astype(np.float32)
+    seen, gram_gap = gap(grams)
+    return batch.words[often], word_gap[often], np.where(seen >= LEAST_TEXTS, gram_gap, 0).astype(np.float32)
 
 
 def _part(batch: Batch, windows: np.ndarray) -> tuple[Batch, np.ndarray]:
@@ -245,7 +280,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Network
     target = np.array(labels, np.float32)
     if not 0 < target.sum() < len(target):
         return float(target.mean()) if len(target) else 0.0
-    batch = read(pa.array(texts, pa.string()))
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    batch = joined([read(part.column("text")) for part in chunks([rows])])
     net = Network(*_evidence(batch, target.astype(np.int64)), float(target.mean()))
     rng = np.random.default_rng(SEED)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
