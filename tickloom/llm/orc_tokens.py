@@ -8,6 +8,7 @@ are read by several tasks.
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -27,12 +28,16 @@ ORC = {
 SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 #: Words a Python worker keeps with their ids.  When there are more, those met once are forgotten, which costs time only.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 700_000
 LONG_WORD = 64
 
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
+def _plain(word: str) -> bool:
+    return word.isascii() and word.isalpha() and word.islower()
+
+
 class WordTokenizer:
     """The tokenizers library on the distinct words of a batch.
 
@@ -50,11 +55,22 @@ class WordTokenizer:
         suffix = model.get("end_of_word_suffix")
         self.is_end = np.zeros(self.library.get_vocab_size(True) + 1, bool)
         self.is_end[[i for t, i in model["vocab"].items() if suffix and t.endswith(suffix)]] = True
+        self.bare = self._bare(path, [t.removesuffix(suffix) for t in model["vocab"] if suffix and t.endswith(suffix)])
         self.kept: dict[str, bytes] = {}
         self.again: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _bare(self, path: str, words: list[str]):
+        """The same model without normal forms and patterns, for plain words between blanks, if that gives the same ids."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        bare = Tokenizer.from_file(path)
+        bare.normalizer = normalizers.Sequence([])
+        bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        probe = " ".join(w for w in words if _plain(w))
+        return bare if bool(probe) and (self._ids(probe) == self._ids(probe, bare)).all() else None
+
+    def _ids(self, text: str, library=None) -> np.ndarray:
+        return np.array((library or self.library).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _cut(self, ids: np.ndarray, ends: np.ndarray, skip: int) -> list[bytes]:
         """``ids`` cut before each of ``ends``; ``skip`` ids are left out there."""
@@ -68,13 +84,15 @@ class WordTokenizer:
         vocabulary's end of word.  Between others stands a special token: the library cuts a text at special tokens
         before any other rule.
         """
-        plain = [w for w in words if w.isascii() and w.isalpha() and w.islower()]
         out: dict[str, bytes] = {}
-        if plain:
-            ids = self._ids(" ".join(plain))
-            ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) == len(plain) and ends[-1] == len(ids):
-                out = dict(zip(plain, self._cut(ids, ends[:-1], 0), strict=True))
+        latin = [w for w in words if w.isalpha() and max(w) < "\u0250" and w.islower() and unicodedata.is_normalized("NFC", w)]
+        for group, library in (([w for w in latin if w.isascii()], self.bare), ([w for w in latin if not w.isascii()], None)):
+            if group:
+                ids = self._ids(" ".join(group), library)
+                ends = np.flatnonzero(self.is_end[ids]) + 1
+                # each word has one piece at least, so with as many pieces as words each has one
+                if len(ends) == len(group) and ends[-1] == len(ids):
+                    out.update(zip(group, self._cut(ids, ends[:-1], 0), strict=True))
         rest = [w for w in words if w not in out]
         if rest and (self.mark is None or any(self.mark in w for w in rest)):
             return out | {w: self._ids(w).tobytes() for w in rest}
@@ -84,11 +102,11 @@ class WordTokenizer:
         return out
 
     def _fresh(self, words: list[str]) -> None:
-        """Adds the ids of words.  ASCII words are looked up in lower case, and a full stop or comma that follows a
+        """Adds the ids of words.  Words of Latin letters are looked up in lower case, and a full stop or comma that follows a
         letter and ends the word is a piece of its own, so that fewer different words reach the library."""
         parts = []
         for w in words:
-            base = w.lower() if w.isascii() else w
+            base = w.lower() if w.isascii() or max(w) < "\u0130" else w
             if base[-1:] in (".", ",") and base[-2:-1].isalpha():
                 parts.append((w, base[:-1], base[-1]))
             else:
