@@ -94,7 +94,7 @@ def split_table(spark, sf):
 
 
 def scaled_table(spark, sf):
-    return stored(spark, sf, "scaled", lambda: ML.scale_features(split_table(spark, sf)))
+    return stored(spark, sf, "scaled", lambda: ML.scale_features(split_table(spark, sf), with_close=True))
 
 
 def wide_forecasts(spark, sf):
@@ -371,6 +371,14 @@ def indicators_all(spark, sf):
         "ticker", "date", "close", "volume", "is_outlier", *INDICATORS)
 
 
+@query
+def indicators_small_blocks(spark, sf):
+    """The same in blocks shorter than the series, so that every state crosses block edges."""
+    bars = cut_lineage(views.as_bars(views.daily_li(spark, sf)), "bars")
+    return I.add_indicators(bars, ["is_outlier", *INDICATORS], block_rows=700, warmup=700).select(
+        "ticker", "date", "close", "volume", "is_outlier", *INDICATORS)
+
+
 @query
 def quality_report(spark, sf):
     return Q.quality_report(silver_table(spark, sf))

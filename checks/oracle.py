@@ -352,6 +352,7 @@ ORACLE = {
     "ind_volatility": _indicator("volatility_7d"),
     "ind_volume_z": _indicator("volume_zscore"),
     "indicators_all": _indicator("close, volume, is_outlier, " + _INDICATORS),
+    "indicators_small_blocks": _indicator("close, volume, is_outlier, " + _INDICATORS),
     "quality_report": ctes("silver") + """,
         numbered as (select *, row_number() over (partition by ticker order by date) as rn from silver),
         counts as (select count(*) as total_rows,

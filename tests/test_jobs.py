@@ -6,8 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import as_dicts, ticks
+from tests.helpers import as_dicts, plan, ticks
 from tickloom.operators.bars import ohlcv_bars
+from tickloom.operators import serving as SV
 from tickloom.operators.quality import CriticalQualityError
 from tickloom.operators.upsert import upsert
 from tickloom.plans import pipeline as P
@@ -170,3 +171,19 @@ def test_rejected_ticks_become_dead_letters(spark, tmp_path):
     rows = as_dicts(spark.read.json(str(tmp_path / "dlq")))
     assert {json.loads(r["original_message"])["timestamp_ms"] for r in rows} == {61000, 62000}
     assert {r["error_reason"] for r in rows} == {"validation_failed"}
+
+
+def test_daily_bars_by_month_are_a_few_files_and_the_fact_is_pruned(spark, tmp_path):
+    history(spark, str(tmp_path / "h"), ["A", "B", "0700"], days=300)
+    lake = P.Lake(str(tmp_path / "lake"), ("month",))
+    P.ingest_history(spark, str(tmp_path / "h"), lake)
+    P.bronze_to_silver(spark, lake)
+    P.silver_to_gold(spark, lake)
+    for folder in ("bronze", "silver"):
+        assert len(list((tmp_path / "lake" / folder / "stock_prices").rglob("*.parquet"))) <= 12
+    with pytest.raises(ValueError):
+        P.bronze_to_silver(spark, lake, "A")
+    fact, tickers = (spark.read.parquet(lake.gold(n)) for n in ("fact_stock_prices", "dim_ticker"))
+    assert fact.count() == 900 and {r["symbol"] for r in tickers.collect()} == {"A", "B", "0700"}
+    recent = SV.history(fact, tickers, "0700", 5)
+    assert recent.count() == 5 and "PushedFilters: [EqualTo(ticker_id" in plan(recent, "formatted").replace("IsNotNull(ticker_id), ", "")

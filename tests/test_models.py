@@ -204,9 +204,9 @@ def test_history_is_oldest_first_and_bounded(gold):
     assert len(ids) == 5 and ids == sorted(ids)
     last = fact.filter("ticker_id = 1").agg(F.max("date_id")).first()[0]
     assert ids[-1] == last
-    for days in (0, 501):
-        with pytest.raises(ValueError):
-            SV.history(fact, tickers, "AAA", days)
+    with pytest.raises(ValueError):
+        SV.history(fact, tickers, "AAA", 0)
+    assert SV.history(fact, tickers, "AAA", 10_000).count() == fact.filter("ticker_id = 1").count()
     assert "TakeOrderedAndProject" in plan(SV.history(fact, tickers, "AAA", 5))
 
 
@@ -255,3 +255,21 @@ def test_unchanged_prediction_counts_as_down(spark):
     row = as_dicts(SV.prediction_rows(frame, "m"))[0]
     assert (row["predicted_direction"], row["predicted_change_pct"]) == ("DOWN", 0.0)
     assert SV.prediction_log(SV.prediction_rows(frame, "m")).columns == SV.PREDICTIONS.fieldNames()
+
+
+def test_trees_serve_tickers_of_any_price_level(spark):
+    rng = random.Random(4)
+    rows = []
+    for ticker, level in ((1, 10.0), (2, 10_000.0)):
+        close = level
+        for i in range(160):
+            following = close * (1 + rng.uniform(-0.02, 0.02))
+            split = "train" if i < 110 else "validation" if i < 135 else "test"
+            rows.append((ticker, 20240101 + i, close, following, split, *[rng.random() for _ in FEATURES if _ != "close"]))
+            close = following
+    names = [f for f in FEATURES if f != "close"]
+    schema = "ticker_id int, date_id int, close double, target_next_close double, split string, " + ", ".join(f"`{n}` double" for n in names)
+    scaled = ML.scale_features(spark.createDataFrame(rows, schema), with_close=True)
+    got = FC.tree_forecast(FC.fit_trees(scaled, maxIter=5), scaled.filter("split = 'test'")).collect()
+    assert len(got) == 50 and all(abs(r["predicted"] - r["close"]) < 0.2 * r["close"] for r in got)
+    assert {round(r["close"] / 10 ** (1 if r["ticker_id"] == 1 else 4)) for r in got} <= {0, 1, 2}

@@ -73,19 +73,27 @@ def ar_forecast(rows: DataFrame, coefficients: DataFrame, order: int = AR_ORDER)
 
 
 def fit_trees(scaled: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:
-    """Boosted trees on train and validation rows, stopping when validation stops improving."""
+    """Boosted trees on train and validation rows, stopping when validation stops improving.
+
+    ``scaled`` has ``raw_close`` and ``close_unit``.  The label is the change of the close in units of the ticker's
+    own deviation, so one model serves tickers of any price level.
+    """
     rows = scaled.filter("split in ('train', 'validation')") \
+        .withColumn("_change", (F.col(TARGET) - F.col("raw_close")) / F.col("close_unit")) \
         .withColumn("_validation", F.col("split") == "validation")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     trees = GBTRegressor(
-        featuresCol="features", labelCol=TARGET, predictionCol="predicted",
+        featuresCol="features", labelCol="_change", predictionCol="predicted",
         validationIndicatorCol="_validation", **{**TREE_SETTINGS, **settings},
     )
     return Pipeline(stages=[assembler, trees]).fit(rows)
 
 
 def tree_forecast(model: PipelineModel, scaled: DataFrame) -> DataFrame:
-    return model.transform(scaled).drop("features")
+    """Forecasts in money; ``close`` is the close in money again, the other features stay scaled."""
+    money = F.col("raw_close") + F.col("predicted") * F.col("close_unit")
+    return model.transform(scaled).drop("features").withColumns({"predicted": money, "close": F.col("raw_close")}) \
+        .drop("raw_close", "close_unit")
 
 
 def feature_importance(model: PipelineModel, scaled: DataFrame, top: int = 15,

@@ -71,10 +71,11 @@ def time_split(
     return placed.withColumn("split", label).drop("pos", "series_rows")
 
 
-def scale_features(split: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+def scale_features(split: DataFrame, features: Sequence[str] = FEATURES, with_close: bool = False) -> DataFrame:
     """Standard score with mean and population deviation of the ticker's training rows.
 
-    A constant feature is only centred.  The statistics, one row per ticker, are computed first.
+    A constant feature is only centred.  The statistics, one row per ticker, are computed first.  ``with_close`` adds
+    ``raw_close`` and ``close_unit``, the close as it was and its deviation (1 if there is none).
     """
     stats = measured(split.filter("split = 'train'").groupBy("ticker_id").agg(
         *[F.avg(c).alias(f"_mean_{c}") for c in features],
@@ -85,7 +86,13 @@ def scale_features(split: DataFrame, features: Sequence[str] = FEATURES) -> Data
                  F.when(F.col(f"_std_{c}") == 0, 1.0).otherwise(F.col(f"_std_{c}")))
         for c in features
     }
-    return split.join(stats, "ticker_id", "left").withColumns(scaled).select(*split.columns)
+    extra = {}
+    if with_close:
+        unit = F.col("_std_close")
+        extra = {"raw_close": F.col("close"), "close_unit": F.when(unit > 0, unit).otherwise(F.lit(1.0))}
+    # nulls in the key are one ticker
+    joined = split.join(stats.withColumnRenamed("ticker_id", "_ticker"), F.col("ticker_id").eqNullSafe(F.col("_ticker")), "left")
+    return joined.withColumns(extra).withColumns(scaled).select(*split.columns, *extra)
 
 
 def lookback_sequences(

@@ -13,19 +13,19 @@ from tickloom.operators.ordered import block_window, into_blocks, own_rows, with
 from tickloom.schemas import PREDICTIONS
 from tickloom.session import measured
 
-# Limits of the history service, and RSI guide lines.
-MIN_DAYS, MAX_DAYS = 1, 500
+# RSI guide lines.
 OVERBOUGHT, OVERSOLD = 70, 30
 
 
 def history(fact: DataFrame, tickers: DataFrame, ticker: str, days: int = 30) -> DataFrame:
     """The last ``days`` trading days of a ticker, oldest first, rounded to cents."""
-    if not MIN_DAYS <= days <= MAX_DAYS:
-        raise ValueError(f"days must be between {MIN_DAYS} and {MAX_DAYS}")
-    wanted = tickers.filter(F.col("symbol") == ticker.upper()).select("ticker_id")
+    if days < 1:
+        raise ValueError("days must be positive")
+    # a symbol has one id: as a literal it reaches the scan of the fact, whose files are in the order of the ids
+    wanted = [r["ticker_id"] for r in tickers.filter(F.col("symbol") == ticker.upper()).select("ticker_id").distinct().collect()]
     prices = ["open", "high", "low", "close"]
     recent = (
-        fact.join(wanted, "ticker_id")
+        fact.filter(F.col("ticker_id").isin(wanted))
         .select("date_id", *prices, "volume", "sma_7", "sma_30", "rsi_14")
         .orderBy(F.desc("date_id")).limit(days)
     )

@@ -9,6 +9,7 @@ from tickloom.functions.dates import calendar_columns, date_id
 from tickloom.operators.indicators import SERIES
 from tickloom.operators.ordered import bar_bucket, block_window, into_blocks, own_rows, with_positions
 from tickloom.schemas import DIM_MARKET_SESSION, DIM_TICKER, FACT_COLUMNS
+from tickloom.session import measured
 
 # Symbol, company, sector, exchange of known tickers.
 KNOWN_TICKERS = [
@@ -37,7 +38,8 @@ def dim_ticker(bars: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per symbol; ids follow symbol order.
 
     With ``existing``, its rows are kept as they are and new symbols get the next free ids.
-    Ids come from counts per symbol prefix, so no task sees all symbols.
+    Symbols are cut into ranges of about equal size and numbered inside them, so no task sees all of them whatever they
+    begin with.
     """
     spark = bars.sparkSession
     symbols = bars.select(F.col("ticker").alias("symbol")).filter("symbol is not null").distinct()
@@ -46,7 +48,9 @@ def dim_ticker(bars: DataFrame, existing: DataFrame | None = None) -> DataFrame:
         symbols = symbols.join(existing.select("symbol"), "symbol", "left_anti")
         base = F.coalesce(existing.agg(F.max("ticker_id")).scalar(), F.lit(0))
     known = spark.createDataFrame(KNOWN_TICKERS, "symbol string, company_name string, sector string, exchange string")
-    ranked = with_positions(symbols, [], ["symbol"], F.substring("symbol", 1, 2))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = measured(symbols.repartitionByRange(ranges, "symbol").withColumn("_range", F.spark_partition_id()), "symbols")
+    ranked = with_positions(ranged, [], ["symbol"], F.col("_range"))
     fresh = ranked.join(F.broadcast(known), "symbol", "left").select(  # ten fixed rows
         (base + F.col("pos")).cast("int").alias("ticker_id"),
         "symbol",

@@ -18,7 +18,7 @@ from tickloom.operators.validate import daily_is_valid
 from tickloom.schemas import BRONZE, DIM_TICKER, INDICATORS, SILVER
 from tickloom.session import cut_lineage, use_utc
 from tickloom.sources.history import read_history
-from tickloom.sources.lake import read_bars, write_bars, write_report, write_table
+from tickloom.sources.lake import PARTITIONS, read_bars, write_bars, write_report, write_table
 
 # Load order and conflict keys of the relational tables.
 LOAD_ORDER = [
@@ -31,9 +31,10 @@ LOAD_ORDER = [
 
 @dataclass(frozen=True)
 class Lake:
-    """Table locations below one root folder."""
+    """Table locations below one root folder, and the folders bars are laid out in (see ``write_bars``)."""
 
     root: str
+    partition_by: tuple[str, ...] = PARTITIONS
 
     @property
     def bronze(self) -> str:
@@ -65,7 +66,7 @@ def ingest_history(spark: SparkSession, path: str, lake: Lake, fmt: str = "parqu
         seen, F.count(F.lit(1)).alias("total"), F.count_if(F.col("_valid")).alias("valid"))
     bars = with_ingest_metadata(align_daily(checked.filter("_valid")), source_api,
                                 batch_id or run_id("batch"), "1d")
-    write_bars(bars, lake.bronze)
+    write_bars(bars, lake.bronze, partition_by=lake.partition_by)
     counts = seen.get
     return {**counts, "rejected": counts["total"] - counts["valid"]}
 
@@ -75,8 +76,11 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, ticker: str | None = None,
     """Clean, enrich, check and store; returns the quality report.
 
     The cleaned bars are stored once because the indicator pass reads them twice, the report and
-    the final write read the stored result.  A one-ticker run replaces only that ticker's folders.
+    the final write read the stored result.  A one-ticker run replaces only that ticker's folders, so it needs a
+    layout with tickers.
     """
+    if ticker and "ticker" not in lake.partition_by:
+        raise ValueError("these folders hold all tickers; run without one")
     use_utc(spark)
     clean = cut_lineage(clean_bars(read_bars(spark, lake.bronze, BRONZE, ticker)), "clean-bars")
     silver = cut_lineage(add_indicators(clean, ["is_outlier", *INDICATORS]), "silver")
@@ -84,7 +88,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, ticker: str | None = None,
     write_report(report, lake.quality)
     if fail_on_critical:
         stop_on_critical(report)
-    write_bars(silver, lake.silver, mode="overwrite")
+    write_bars(silver, lake.silver, mode="overwrite", partition_by=lake.partition_by)
     return report
 
 
@@ -102,7 +106,7 @@ def silver_to_gold(spark: SparkSession, lake: Lake) -> None:
     write_table(tickers, lake.gold("dim_ticker"))
     write_table(dim_date(silver.filter("bar_interval = '1d'")), lake.gold("dim_date"))
     write_table(dim_market_session(spark), lake.gold("dim_market_session"))
-    write_table(fact_prices(silver, tickers), lake.gold("fact_stock_prices"))
+    write_table(fact_prices(silver, tickers), lake.gold("fact_stock_prices"), ("ticker_id", "date_id"))
 
 
 def load_gold(spark: SparkSession, lake: Lake, upsert_table) -> dict[str, int]:

@@ -45,11 +45,9 @@ def train_and_compare(fact: DataFrame, run_id: str, **tree_settings) -> Training
     rows = prepare(fact)
     test = rows.filter("split = 'test'")
     phi = fit_ar(rows.filter("split = 'train'"))
-    raw_close = F.col("close").alias("_raw_close")
-    # trees see scaled features; the score needs the unscaled close
-    scaled = cut_lineage(scale_features(rows.select("*", raw_close)), "scaled-rows")
+    scaled = cut_lineage(scale_features(rows, with_close=True), "scaled-rows")
     model = fit_trees(scaled, **tree_settings)
-    trees = tree_forecast(model, scaled.filter("split = 'test'")).withColumn("close", F.col("_raw_close"))
+    trees = tree_forecast(model, scaled.filter("split = 'test'"))
     forecasts = (
         as_scored(naive_forecast(test), "naive")
         .unionByName(as_scored(ar_forecast(test, phi), "ar"))

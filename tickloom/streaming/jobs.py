@@ -75,6 +75,7 @@ def start_upsert(
             if stop_on_error:
                 raise
             log.warning("upsert of micro-batch %d failed and was skipped", batch_id, exc_info=True)
+            rows.write.format("noop").mode("overwrite").save()  # the state of the windows must go on all the same
 
     return (
         bars.writeStream.outputMode("update").queryName(_name("bars_to_upsert", checkpoint)).foreachBatch(sink)
