@@ -26,7 +26,7 @@ WINDOW, GRAM = 50, 20
 #: Windows of a segment; a longer run of one minimizer is cut, which changes no result.
 RUN = 256
 #: Words of a shard that its size aims at.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 600_000
 #: A minimizer is split if its different segments alone fill a shard and are more than one in so many of all.
 SPLIT_SHARE = 100_000
 
@@ -107,7 +107,7 @@ def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words
             route = np.where(hot, mix(key ^ content_hash), key)
             packed = words.hashes.view("<u2").reshape(-1, 4)[:, :3].tobytes()
             contents = []
-            if len(sent) > 500_000:
+            if len(sent) > 200_000:
                 sent.clear()
             for h, a, b in zip((route ^ mix(content_hash)).tolist(), (first * 6).tolist(), (last * 6).tolist(), strict=True):
                 contents.append(None if h in sent else packed[a:b])  # the words once per task are enough
