@@ -66,15 +66,21 @@ def linked_messages(messages: DataFrame) -> DataFrame:
 
 
 def _paths(replies: DataFrame) -> DataFrame:
-    """(conv_id, turn, root, depth) of all replies, by doubling: each round a message takes over what its pointer knows."""
-    state = store(replies.select("conv_id", "turn", F.col("parent_turn").alias("root"), F.lit(1).alias("depth"), F.lit(False).alias("_over")), "paths")
+    """(conv_id, turn, root, depth) of all replies, by doubling: each round a message takes over what its pointer knows.
+
+    Messages whose pointer has reached the root of the thread take no part in later rounds.
+    """
+    open_ = store(replies.select("conv_id", "turn", F.col("parent_turn").alias("root"), F.lit(1).alias("depth")), "paths")
+    done = open_.limit(0)
     for _ in range(ROUNDS):
-        up = state.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
-        state = store(state.join(up, ["conv_id", "root"], "left").select(
+        up = open_.unionByName(done).select("conv_id", F.col("turn").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
+        step = store(open_.join(up, ["conv_id", "root"], "left").select(
             "conv_id", "turn", F.coalesce("_root", "root").alias("root"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
             F.col("_root").isNull().alias("_over")), "paths")
-        if not state.filter("not _over").limit(1).count():
-            return state.select("conv_id", "turn", "root", "depth")
+        done = done.unionByName(step.filter("_over").drop("_over"))
+        open_ = step.filter("not _over").drop("_over")
+        if not open_.limit(1).count():
+            return done
     raise RuntimeError("reply chains did not end")
 
 
