@@ -183,8 +183,8 @@ def in_bloom(words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return found
 
 
-def sieve(rows: DataFrame, hashed: str, keys: DataFrame, bits: int = 22) -> DataFrame:
-    """Rows whose 64-bit hash may be among those of ``keys`` (same column), by DataFrame functions.
+def flagged(rows: DataFrame, hashed: str, keys: DataFrame, name: str, bits: int = 22) -> DataFrame:
+    """Adds ``name``: whether the row's 64-bit hash may be among those of ``keys`` (same column), by DataFrame functions.
 
     A Bloom filter as a table of at most 2**bits / 64 rows, so its broadcast is bounded whatever the keys are.
     """
@@ -192,12 +192,19 @@ def sieve(rows: DataFrame, hashed: str, keys: DataFrame, bits: int = 22) -> Data
     spots = keys.select(F.explode(F.array(spot(0), spot(32))).alias("spot"))
     table = store(spots.groupBy(F.shiftright("spot", 6).alias("_word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("_bits")), "sieve")
+    rows = rows.withColumn(name, F.lit(True))
     for s in (0, 32):
         hit = F.call_function("getbit", F.col("_bits"), spot(s).bitwiseAND(63).cast("int")) == 1
-        rows = rows.join(F.broadcast(table), F.shiftright(spot(s), 6) == F.col("_word")).filter(hit).drop("_word", "_bits")
+        rows = rows.join(F.broadcast(table), F.shiftright(spot(s), 6) == F.col("_word"), "left") \
+            .withColumn(name, F.col(name) & F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
     return rows
 
 
+def sieve(rows: DataFrame, hashed: str, keys: DataFrame, bits: int = 22) -> DataFrame:
+    """Rows whose 64-bit hash may be among those of ``keys`` (same column); an exact join follows."""
+    return flagged(rows, hashed, keys, "_maybe", bits).filter("_maybe").drop("_maybe")
+
+
 # --- connected components --------------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Words, bloom, chunks, components, in_bloom, mix, ragged, run_hashes, signed, store
+from tickloom.llm.common import Words, bloom, chunks, components, flagged, in_bloom, mix, ragged, run_hashes, signed, store
 
 PARTS = 2
 _HALF = np.uint64(0xFFFFFFFF)
@@ -169,10 +169,15 @@ def _firsts(nodes: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """Stored table of verified links (a, b) between the first documents of different sets."""
-    firsts = store(_firsts(nodes).filter("first is not null"), "firsts")
-    signs = nodes.filter("n_shingles > 0").join(firsts, ["h1", "h2"]).filter("doc_id = first") \
-        .select("doc_id", F.explode("sigs").alias("sig"))
-    # partial minima and maxima fold in each task, so a signature of many sets moves as few rows
+    sets = nodes.filter("n_shingles > 0 and doc_id is not null")
+    copies = sets.select("doc_id", "h1", "h2").join(_firsts(nodes), ["h1", "h2"]).filter("doc_id <> first")
+    copies = store(copies.select("doc_id", "h1", "h2", F.xxhash64("doc_id", "h1", "h2").alias("_k")).distinct(), "copies")
+    # most sets are certainly no copies and need no join to show it
+    marked = flagged(sets.withColumn("_k", F.xxhash64("doc_id", "h1", "h2")), "_k", copies, "_maybe")
+    own = marked.filter("not _maybe").select("doc_id", "sigs").union(
+        marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "sigs"))
+    # one exchange serves both uses; a signature has one row per different set, and a set has many signatures
+    signs = own.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
     shared = signs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most")).filter("rep < most").select("sig", "rep")
     stars = store(signs.join(shared, "sig").filter("doc_id <> rep").select("doc_id", "rep").distinct(), "stars")
 
