@@ -161,9 +161,9 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, end_id: int = 2) ->
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the files with their place: ``file`` and ``row`` order the corpus as it was written."""
-    return spark.read.schema(SCHEMA).orc(path).select(
-        "doc_id", "n_tokens", "ids", F.col("_metadata.file_name").alias("file"))
+    """Rows of the files, with the number of the file: files hold ranges of ids in the order of their numbers."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    return spark.read.schema(SCHEMA).orc(path).select("doc_id", "n_tokens", "ids", number.alias("file"))
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
@@ -174,7 +174,7 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
 def catalogue(tokens: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the files; ``start`` counts the ids of all documents before it.
 
-    Files follow each other by name and hold ranges of ids, so a running sum inside each file and one over
+    Files hold ranges of ids in the order of their numbers, so a running sum inside each file and one over
     the files' totals (a row per file) give the start; only numbers are shuffled.  Rows of one id follow
     their length and checksum.
     """
@@ -188,7 +188,7 @@ def catalogue(tokens: DataFrame) -> DataFrame:
                 [part.column("doc_id"), pa.array(np.diff(at)), pa.array(crc, pa.int64()), part.column("file")],
                 ["doc_id", "n_tokens", "ids_crc32", "file"])
 
-    rows = tokens.select("doc_id", "ids", "file").mapInArrow(digest, "doc_id long, n_tokens long, ids_crc32 long, file string")
+    rows = tokens.select("doc_id", "ids", "file").mapInArrow(digest, "doc_id long, n_tokens long, ids_crc32 long, file long")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     files = tokens.groupBy("file").agg(F.sum("n_tokens").alias("_n"))
     files = files.select("file", F.coalesce(F.sum("_n").over(before(Window.partitionBy().orderBy("file"))), F.lit(0)).alias("_start"))
