@@ -208,27 +208,29 @@ def sieve(rows: DataFrame, hashed: str, keys: DataFrame, bits: int = 22) -> Data
 # --- connected components --------------------------------------------------------------------
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the links; only nodes with a link are listed.
 
-    Each round joins every node to the smallest label next to it and then halves the paths; labels
-    only fall, and the loop ends when none fell.  Aggregates fold before the shuffle, joins are left
-    to adaptive splitting, and every round is a stored table.
+    Each round gives the smallest label of labels next to a node to the node and to its old label, and halves
+    the paths, so whole trees hang onto smaller ones and the rounds grow with the logarithm of a chain's length.
+    Labels only fall, and the loop ends when none fell.  Aggregates fold before the shuffle, joins are
+    left to adaptive splitting, and every round is two stored tables.
     """
     both = store(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).filter("u <> v").distinct(), "links")
     labels = store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("u").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("near"))
-        step = labels.join(near, "u", "left").select("u", F.col("l").alias("old"), F.least("l", "near").alias("l"))
-        step = store(step, "labels")
-        # a label is itself a node: take its label too
-        up = step.select(F.col("u").alias("l"), F.col("l").alias("up"))
-        step = store(step.join(up, "l", "left").select("u", "old", F.least("l", "up").alias("l")), "labels")
+    while True:
+        # a label is itself a node: its label is known too
+        up = labels.select(F.col("u").alias("l"), F.col("l").alias("up"))
+        step = store(labels.join(up, "l").select("u", "l", "up"), "labels")
+        near = both.join(step.select(F.col("u").alias("v"), "up"), "v").groupBy("u").agg(F.min("up").alias("near"))
+        lower = step.join(near, "u").select("u", "l", F.least("up", "near").alias("new"))
+        # ``old`` comes from a node's own row only
+        told = lower.select(F.inline(F.array(F.struct("u", F.col("l").alias("old"), "new"), F.struct(F.col("l").alias("u"), F.lit(None).cast("long").alias("old"), "new"))))
+        step = store(told.groupBy("u").agg(F.max("old").alias("old"), F.min("new").alias("l")), "labels")
         moved = step.filter("l <> old").limit(1).count()
         labels = step.select("u", "l")
         if not moved:
             return labels.select(F.col("u").alias("node"), F.col("l").alias("component"))
-    raise RuntimeError("components did not settle")
 
 
 # --- rows in order ---------------------------------------------------------------------------
