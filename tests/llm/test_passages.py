@@ -92,3 +92,27 @@ def test_index_counts_and_minima():
             for i in range(len(s) - 3):
                 same = [value[j] for j, t in enumerate(seqs) for x in range(len(t) - 3) if t[x:x + 4] == s[i:i + 4]]
                 assert least[cuts[k] + i] == min(same)
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_shards_hold_a_segment_once_however_many_copies_there_are(spark, monkeypatch, split):
+    """A third of the rows are copies of one text, others share a passage in different surroundings."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(5_000)}"
+    text, passage = [[word() for _ in range(n)] for n in (60, 14)]
+    texts = [" ".join(text)] * 150 + [" ".join([word() for _ in range(9)] + passage + [word() for _ in range(9)]) for _ in range(150)]
+    data = [(i, t, 0, "", 0) for i, t in zip(rng.sample(range(10_000), len(texts)), texts)]
+    seen, store = {}, passages.store
+
+    def look(df, name):
+        seen[name] = store(df, name)
+        if name == "judged":
+            copies = seen["segments"].groupBy("route", "content_hash").count()
+            assert copies.agg({"count": "max"}).first()[0] >= 150
+            assert seen[name].count() == seen[name].select("route", "content_hash").distinct().count()
+        return seen[name]
+
+    monkeypatch.setattr(passages, "store", look)
+    got = passages.without_repeats(spark.createDataFrame(data, DOCS), ["row"], window=12, gram=5, shard_words=30 if split else 50_000).drop("row")
+    assert sorted(map(tuple, got.collect())) == brute(data, 12)
+    assert "judged" in seen

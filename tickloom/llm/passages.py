@@ -2,9 +2,11 @@
 
 Equal windows have equal minimizers (the smallest hash of the n-grams inside), so consecutive windows with
 the same minimizer form a segment, and segments go to shards by minimizer.  A minimizer that only one
-document has cannot repeat and is dropped first.  Each shard builds an FM-index over its segments and
-streams them through backward search; the intervals of ``window`` words tell the smallest document that has
-the window.  A minimizer whose different segments would fill a shard is split: its windows go to shards one by one.
+document has cannot repeat and is dropped first.  Shards get every different segment once, with the smallest
+document that has it.  Each shard builds an FM-index over its segments and streams them through backward search; the
+intervals of ``window`` words tell the smallest document that has the window.  What this says of a segment is joined
+back to its copies, so no task holds the rows of a text with many copies.  A minimizer whose different segments would
+fill a shard is split: its windows go to shards one by one.
 
 Words are 48-bit hashes in the index, 64-bit in the minimizers; equal windows are always found, and two
 different ones count as equal only if hashes collide in both.
@@ -83,6 +85,10 @@ def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words
     # by its rule this list never has more than SPLIT_SHARE keys
     most = max(shard_words // (window + 16), total // SPLIT_SHARE)
     split = np.sort(np.array([r["key"] for r in keys.filter(F.col("contents") > most).select("key").collect()], np.int64))
+    # words of the different segments; a minimizer has half the n-grams of a window as windows, on average
+    parted = F.col("contents") > most
+    words = F.when(parted, (window - gram + 2) // 2 * window).otherwise(window + 16) * F.col("contents")
+    size = keys.agg(F.sum(words).alias("n")).first()["n"] or 0
     maybe = bloom(keys, F.col("key"))
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,50 +127,50 @@ def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words
         yield from _search([b for b in batches if b.num_rows], window)
 
     source = docs.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("row"))
-    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total * (window + 16) // shard_words + 1)
-    found = (
-        source.mapInArrow(segments, "route long, content_hash long, doc_id long, row long, start int, windows int, content binary")
-        .repartition(shards, "route")
-        .mapInArrow(search, "doc_id long, row long, first int, last int")
-    )
-    return store(found.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // shard_words + 1)
+    found = store(source.mapInArrow(segments, "route long, content_hash long, doc_id long, row long, start int, windows int, content binary"), "segments")
+    different = found.groupBy("route", "content_hash") \
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("content", ignorenulls=True).alias("content"))
+    judged = different.repartition(shards, "route").mapInArrow(search, "route long, content_hash long, low long, gone array<struct<first:int,last:int>>")
+    judged = store(judged, "judged")
+    # a segment is gone whole from all documents but its first, which loses what other segments have earlier; the join is
+    # left to adaptive splitting
+    whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") + (window - 1)).alias("last")))
+    gone = found.drop("content").join(judged, ["route", "content_hash"]).withColumn("gone", F.when(F.col("doc_id") > F.col("low"), whole).otherwise(F.col("gone")))
+    spans = gone.select("doc_id", "row", "start", F.inline("gone")).groupBy("doc_id", "row") \
+        .agg(F.collect_list(F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))).alias("spans"))
+    return store(spans, "spans")
 
 
 def _search(batches: list[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """One shard: index its distinct segments, search them all, and list the ranges that an earlier document has."""
+    """One shard: index its segments (each is there once), search them all, and list the ranges that an earlier document
+    has than the first of the segment; segments that no document loses anything of are left out."""
     if not batches:
         return
     column = lambda name: np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in batches])
-    doc, row, start, windows = (column(c) for c in ("doc_id", "row", "start", "windows"))
-    name = column("route").view(np.uint64) ^ mix(column("content_hash").view(np.uint64))
-    _, content = np.unique(name, return_inverse=True)
-    order = np.argsort(content, kind="stable")
-    firsts = np.flatnonzero(np.diff(content[order], prepend=-1))
-    smallest = np.minimum.reduceat(doc[order], firsts)
-    words: list[bytes] = [b""] * len(firsts)
-    at = 0
-    for b in batches:
-        values = b.column("content")
-        for i in np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False)).tolist():
-            words[content[at + i]] = values[i].as_py()
-        at += b.num_rows
-    sizes = np.fromiter((len(w) // 6 for w in words), np.int64, len(words))
-    raw = np.frombuffer(b"".join(words), "<u2").reshape(-1, 3).astype(np.int64)
+    low, high = column("low"), column("high")
+    contents = [b.column("content") for b in batches]
+    sizes = np.concatenate([np.diff(np.frombuffer(c.buffers()[1], np.int32, len(c) + 1, c.offset * 4)) for c in contents]).astype(np.int64) // 6
+    raw = np.frombuffer(b"".join(v.as_buffer() for c in contents for v in c), "<u2").reshape(-1, 3).astype(np.int64)
     symbols = raw[:, 0] | raw[:, 1] << 16 | raw[:, 2] << 32
     index = FmIndex(symbols, np.concatenate([[0], np.cumsum(sizes)]), window)
-    least, bounds = index.matching(smallest)
+    least, bounds = index.matching(low)
 
-    owner = np.repeat(np.arange(len(doc)), windows)
+    windows = sizes - window + 1
+    owner = np.repeat(np.arange(len(low)), windows)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    gone = least[bounds[content[owner]] + inside] < doc[owner]
+    gone = least[bounds[owner] + inside] < low[owner]
     edge = np.ones(len(owner) + 1, bool)
     edge[1:-1] = owner[1:] != owner[:-1]
     begins = np.flatnonzero(gone & (edge[:-1] | ~np.append(False, gone[:-1])))
     ends = np.flatnonzero(gone & (edge[1:] | ~np.append(gone[1:], False)))
-    who = owner[begins]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(doc[who]), pa.array(row[who]), pa.array((start[who] + inside[begins]).astype(np.int32)),
-         pa.array((start[who] + inside[ends] + window).astype(np.int32))], ["doc_id", "row", "first", "last"])
+    cuts = np.searchsorted(owner[begins], np.arange(len(low) + 1)).astype(np.int32)
+    ranges = pa.StructArray.from_arrays(
+        [pa.array(inside[begins].astype(np.int32)), pa.array((inside[ends] + window).astype(np.int32))], ["first", "last"])
+    out = pa.RecordBatch.from_arrays(
+        [pa.array(column("route")), pa.array(column("content_hash")), pa.array(low), pa.ListArray.from_arrays(pa.array(cuts), ranges)],
+        ["route", "content_hash", "low", "gone"])
+    yield out.filter(pa.array((low < high) | (np.diff(cuts) > 0)))
 
 
 def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW, gram: int = GRAM,  # noqa: B006
