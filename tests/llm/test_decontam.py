@@ -74,3 +74,34 @@ def test_blocks_reach_every_fingerprint_within_the_radius():
     for _ in range(300):
         change = sum(1 << b for b in rng.sample(range(64), rng.randint(0, decontam.RADIUS)))
         assert any((change >> 8 * i & 255) in masks for i in range(8))
+
+
+def test_texts_shorter_than_the_item(spark):
+    """Items without their last or first words, or some in the middle: the whole text is the one window."""
+    rng = random.Random(3)
+    items = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(n)), 0) for i, n in enumerate([6, 9, 20, 37, 60, 120])] + [(9, "ha " * 30, 0)]
+    docs = []
+    for _, said, _ in items:
+        w = words(said)
+        for cut in (0, 1, 2, 5, 8, 13, 26):
+            changed = w[:max(1, len(w) - cut)]
+            changed[len(changed) // 2] = "changed"
+            docs += [(len(docs) + j, " ".join(x), 0, 0, 0) for j, x in enumerate((w[:max(1, len(w) - cut)], w[cut:], w[:8] + w[8 + cut:], changed))]
+    want = []
+    for i, text, *_ in docs:
+        w = words(text)
+        for item, said, _ in items:
+            v = words(said)
+            bag = Counter(tuple(v[j:j + 5]) for j in range(len(v) - 4))
+            m, n = len(v) - 4, max(0, len(w) - 4)
+            wide, best = min(m, n), None
+            for s in range(n - wide + 1 if n else 0):
+                common = sum((Counter(tuple(w[s + j:s + j + 5]) for j in range(wide)) & bag).values())
+                if 10 * common >= 8 * (m + wide - common) and (best is None or common > best[1]):
+                    best = (s, common, common / (m + wide - common))
+            if best:
+                want.append((i, item, best[0], best[1], m, best[2]))
+    got = sorted(map(tuple, decontam.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()))
+    assert got == sorted(want)
+    size = {i: len(words(t)) for i, t, *_ in docs}
+    assert sum(size[i] - 4 < m for i, _, _, _, m, _ in got) >= 20

@@ -1,10 +1,11 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 Words are runs of letters and digits, lower case; shingles are five words (all words of a shorter item).
-An item of ``m`` shingles is held against every window of ``m`` shingles of every text.
+An item of ``m`` shingles is held against every window of ``m`` shingles of every text; a text with fewer is one window.
 
 1. Windows.  Two multisets of ``m`` shingles with similarity 0.8 have 8/9 of them in common, so only
-   windows with that many shingles of items of this length are kept; no other can pass step 4.
+   windows with that many shingles of items of this length are kept; no other can pass step 4.  A text of
+   ``n < m`` shingles needs 4/9 of ``m + n``.
 2. SimHash.  64 bits of every window and every item, each shingle counted as often as it occurs.
 3. Blocks.  Fingerprints within ``RADIUS`` agree up to ``RADIUS // 8`` bits in one of eight blocks: items are
    listed under all near values of each block, and windows look theirs up.  All pairs within the radius
@@ -70,17 +71,18 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Stored table of text hash ``row``, item_id, start (shingle), matched, n_shingles: the best window of each item, the first of equals."""
+    """Stored table of text hash ``row``, item_id, start (shingle), matched, n_shingles, n_window (shingles of the window): the best
+    window of each item, the first of equals."""
     items = benchmark.filter("item_id is not null").select("item_id", word_hashes("text").alias("w")).filter(F.size("w") > 0) \
         .select("item_id", "w", F.least(F.size("w"), F.lit(SHINGLE)).alias("k"))
     items = store(items, "items")
     found = [_matches(docs, items.filter(F.col("k") == k), k) for k in sorted(r["k"] for r in items.select("k").distinct().collect())]  # 1 to 5
-    empty = docs.sparkSession.createDataFrame([], "row long, item_id long, start int, matched int, n_shingles int")
+    empty = docs.sparkSession.createDataFrame([], "row long, item_id long, start int, matched int, n_shingles int, n_window int")
     out = empty
     for f in found:
         out = out.unionByName(f)
-    best = out.groupBy("row", "item_id").agg(F.max(F.struct("matched", (-F.col("start")).alias("late"), "n_shingles")).alias("best"))
-    return store(best.select("row", "item_id", (-F.col("best.late")).alias("start"), "best.matched", "best.n_shingles"), "matches")
+    best = out.groupBy("row", "item_id").agg(F.max(F.struct("matched", (-F.col("start")).alias("late"), "n_shingles", "n_window")).alias("best"))
+    return store(best.select("row", "item_id", (-F.col("best.late")).alias("start"), "best.matched", "best.n_shingles", "best.n_window"), "matches")
 
 
 def _matches(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -89,20 +91,23 @@ def _matches(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     # 1. positions of shingles that items have, by the length of the item
     wanted = _small(store(items.select("m", F.explode("bag").alias("s")).distinct(), "item-shingles"))
     rows = docs.select(F.xxhash64("text").alias("row"), word_hashes("text").alias("w"))
-    hits = rows.select("row", F.posexplode(shingles("w", k)).alias("at", "s")).join(wanted, "s")
-    least = F.expr("(8 * m + 8) div 9")
-    runs = hits.groupBy("row", "m").agg(F.array_sort(F.collect_set("at")).alias("at")).withColumn("least", least)
+    # counted ahead of the explode, which would else carry the words through every row
+    rows = rows.select("row", "w", (F.size("w") - (k - 1)).alias("n"))
+    hits = rows.select("row", "n", F.posexplode(shingles("w", k)).alias("at", "s")).join(wanted, "s")
+    # shingles of a window: a text that is shorter than the item is one window, at 0
+    runs = hits.groupBy("row", "m", F.least("m", "n").alias("wide")).agg(F.array_sort(F.collect_set("at")).alias("at")) \
+        .withColumn("least", F.expr("(4 * (m + wide) + 8) div 9"))
     # ``i``: the first such position in a window; the window may begin before it, but not at the one before
-    first = F.filter(F.sequence(F.lit(0), F.size("at") - 1), lambda i: F.get(F.col("at"), (i + F.col("least") - 1).cast("int")) - F.get("at", i) < F.col("m"))
-    begin = F.greatest(F.lit(0), F.get("at", F.col("i")) - (F.col("m") - F.col("least")).cast("int"), F.coalesce(F.get("at", F.col("i") - 1) + 1, F.lit(0)))
-    windows = runs.withColumn("i", F.explode(first)).select("row", "m", F.explode(F.sequence(begin, F.get("at", F.col("i")))).alias("start"))
+    first = F.filter(F.sequence(F.lit(0), F.size("at") - 1), lambda i: F.get(F.col("at"), (i + F.col("least") - 1).cast("int")) - F.get("at", i) < F.col("wide"))
+    begin = F.greatest(F.lit(0), F.get("at", F.col("i")) - (F.col("wide") - F.col("least")).cast("int"), F.coalesce(F.get("at", F.col("i") - 1) + 1, F.lit(0)))
+    windows = runs.withColumn("i", F.explode(first)).select("row", "m", "wide", F.explode(F.sequence(begin, F.get("at", F.col("i")))).alias("start"))
     windows = store(windows, "windows")
 
     # 2. the windows of the few texts that have any; the sieve is of fixed size, the join decides
     texts = sieve(docs.select(F.xxhash64("text").alias("row"), "text"), "row", windows.select("row").distinct())
     texts = texts.groupBy("row").agg(F.first("text").alias("text")).withColumn("w", word_hashes("text")).select("row", shingles("w", k).alias("all"))
-    seen = windows.join(texts, "row").filter("start + m <= size(all)") \
-        .select("row", "m", "start", F.slice("all", F.col("start") + 1, F.col("m")).alias("seen")).withColumn("seen_print", simhash("seen"))
+    seen = windows.join(texts, "row").filter("start + wide <= size(all)") \
+        .select("row", "m", "start", F.slice("all", F.col("start") + 1, F.col("wide")).alias("seen")).withColumn("seen_print", simhash("seen"))
     seen = store(seen, "fingerprints")
 
     # 3. the look-up by blocks
@@ -115,8 +120,8 @@ def _matches(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
         .filter(F.bit_count(F.col("print").bitwiseXOR(F.col("seen_print"))) <= RADIUS)
 
     # 4. the exact similarity
-    return pairs.withColumn("matched", common_weight("seen", "bag")).filter("10 * matched >= 8 * (2 * m - matched)") \
-        .select("row", "item_id", "start", "matched", F.col("m").alias("n_shingles"))
+    return pairs.withColumn("matched", common_weight("seen", "bag")).filter("10 * matched >= 8 * (m + size(seen) - matched)") \
+        .select("row", "item_id", "start", "matched", F.col("m").alias("n_shingles"), F.size("seen").alias("n_window"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     found = matches(docs, benchmark)
     return docs.select("doc_id", F.xxhash64("text").alias("row")).join(found, "row") \
-        .select("doc_id", "item_id", "start", "matched", "n_shingles", (F.col("matched") / (2 * F.col("n_shingles") - F.col("matched"))).alias("similarity"))
+        .select("doc_id", "item_id", "start", "matched", "n_shingles", (F.col("matched") / (F.col("n_shingles") + F.col("n_window") - F.col("matched"))).alias("similarity"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
