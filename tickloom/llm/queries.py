@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, toxicity, warc, winnow
+from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, repair, toxicity, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -60,6 +60,10 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.document_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")), copies="copies")
+
+
 QUERIES = {
     "op1_orc_tokens": op1_orc_tokens,
     "op2_decontamination": op2_decontamination,
@@ -71,8 +75,26 @@ QUERIES = {
     "op8_quotation_links": op8_quotation_links,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
+#: crc32 of the list of bytes ``{bytes}`` with the table ``t`` of ``CRC_TABLE``.
+CRC_TABLE = """tab as (select list(c order by i) as t from (
+            select i, list_reduce([i] || range(8), lambda c, x: case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) as c from range(256) r(i)))"""
+CRC = "xor(list_reduce([4294967295::bigint] || {bytes}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::bigint)"
+
+
+def _plus(cost: int | str, way: str, letter: str) -> str:
+    """SQL for a way of edits, its cost in six digits and its letters, with one edit put in front."""
+    return f"lpad((left({way}, 6)::int + {cost})::varchar, 6, '0') || '{letter}' || substr({way}, 7)"
+
+
+def _ways(state: int, kept: str, to: int) -> str:
+    """SQL for the cheapest way from ``state`` over a row, without an insertion before it."""
+    ways = [_plus(3, f"e{state}", "D"), f"case when sign <> 'x' then {_plus('2 + cut', f'e{to}', 'R')} end",
+            *[f"case when sign = '{sign}' then {_plus('cut', f'e{after}', 'K')} end" for sign, after in (k.split(":") for k in kept.split())]]
+    return f"least({', '.join(ways)}) as b{state}"
+
 ORACLE: dict[str, str] = {
     "op3_arc_to_warc": """
         with p as (select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as d from pages),
@@ -148,4 +170,45 @@ ORACLE: dict[str, str] = {
                coalesce(p.n_quoted, 0)::bigint as n_quoted, coalesce(p.n_linked, 0)::bigint as n_linked,
                regexp_replace(s.t, '^\\s+|\\s+$', '', 'g') as body
         from said s join paths using (conv_id, turn) left join parents p using (conv_id, turn)""",
+    "op11_conversation_repair": f"""
+        with recursive {CRC_TABLE},
+        src as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                       coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+        hit as (select conv_id, turn, role, text, {CRC.format(bytes="list_transform(range(length(k)), lambda i: ascii(substr(k, i + 1, 1))::bigint)")} % 20 as f from src, tab),
+        damaged as (select conv_id, turn, case when f = 4 then 'user' else role end as role,
+                           case f when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, case f when 0 then 0 when 3 then 2 else 1 end as n from hit),
+        copies as (select conv_id, turn, role, text, unnest(range(n)) as copy from damaged),
+        placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(length(role) || ':' || role || text), copy) as p from copies),
+        facts as (select *, left(role, 1) as initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body,
+                         lag(left(role, 1)) over (partition by conv_id order by p) as before, row_number() over (partition by conv_id, role, text order by p) > 1 as seen from placed),
+        judged as (select *, case when body = '' then 'b' when seen then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '-' end as fault from facts),
+        line as (select conv_id, p, role, text, case when fault in ('b', 'd') then 'x' when initial in ('s', 'u', 'a') then initial else 'o' end as sign,
+                        (fault = 't')::int as cut from judged),
+        sums as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank,
+                        count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+                        count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal from judged group by conv_id),
+        ways(conv_id, p, e0, e1, e2, e3) as (
+            select conv_id, n + 1, '000000', '000004II', '000002I', '000000' from sums
+            union all
+            select conv_id, p, least(b0, {_plus(2, "c2", "I")}), least(b1, {_plus(2, "c2", "I")}), c2, least(b3, {_plus(2, "b2", "I")}) from (
+                select *, least(b2, {_plus(2, "b3", "I")}) as c2 from (
+                    select l.conv_id, l.p, {_ways(0, "s:1 u:2", 2)}, {_ways(1, "u:2", 2)}, {_ways(2, "a:3", 3)}, {_ways(3, "u:2", 2)}
+                    from ways w join line l on l.conv_id is not distinct from w.conv_id and l.p = w.p - 1))),
+        best as (select conv_id, left(e0, 6)::bigint as cost, substr(e0, 7) as audit from ways where p = 1),
+        walk(conv_id, audit, i, p, state, role, text) as (
+            select conv_id, audit, 0, 0::bigint, 0, null::varchar, null::varchar from best
+            union all
+            select conv_id, audit, i + 1, here, case when letter = 'D' then state when letter = 'K' then kept else to_ end,
+                   case when letter = 'K' then role when letter <> 'D' then case to_ when 2 then 'user' else 'assistant' end end,
+                   case when letter = 'I' then '' when letter <> 'D' then text end
+            from (select w.conv_id, w.audit, w.i, w.state, substr(w.audit, w.i + 1, 1) as letter, case when w.state = 2 then 3 else 2 end as to_, l.role, l.text,
+                         case when substr(w.audit, w.i + 1, 1) = 'I' then w.p else w.p + 1 end as here, case left(l.role, 1) when 's' then 1 when 'u' then 2 else 3 end as kept
+                  from walk w left join line l on l.conv_id is not distinct from w.conv_id and l.p = w.p + 1 where w.i < length(w.audit))),
+        repaired as (select conv_id, string_agg(role || ':' || text, chr(10) order by i) as t from walk where role is not null group by conv_id),
+        ids as (select distinct conv_id from conversations)
+        select i.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+               coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+               sha256(coalesce(t, '')) as repaired_sha256
+        from ids i left join sums s on s.conv_id is not distinct from i.conv_id left join best b on b.conv_id is not distinct from i.conv_id
+        left join repaired r on r.conv_id is not distinct from i.conv_id""",
 }
