@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, repair, toxicity, warc, winnow
+from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, repair, spelling, toxicity, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -64,6 +64,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")), copies="copies")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_orc_tokens": op1_orc_tokens,
     "op2_decontamination": op2_decontamination,
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: crc32 of the list of bytes ``{bytes}`` with the table ``t`` of ``CRC_TABLE``.
@@ -211,4 +216,23 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(t, '')) as repaired_sha256
         from ids i left join sums s on s.conv_id is not distinct from i.conv_id left join best b on b.conv_id is not distinct from i.conv_id
         left join repaired r on r.conv_id is not distinct from i.conv_id""",
+    "op13_spelling_variants": f"""
+        with recursive {CRC_TABLE},
+        runs as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w
+                 from documents),
+        counted as (select coalesce(doc_id::varchar, '') || ':' || w as k, w, count(*) as c from runs group by all),
+        coded as (select w, c, hex(encode(k)) as x from counted),
+        summed as (select w, c, {CRC.format(bytes="list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)")} as h from coded, tab),
+        kept as (select case when h % 199 = 0 then left(w, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, c from summed),
+        words as (select word, sum(c)::bigint as n from kept where length(word) >= 6 group by word having sum(c) >= 5),
+        cuts as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as d from words, lateral (select unnest(range(1, length(word) + 1)) as i)),
+        pairs as (select a.word, b.word as near, b.n from cuts a join cuts b on a.d = b.d and a.i = b.i and a.word <> b.word
+                  union select a.word, b.word, b.n from cuts a join words b on a.d = b.word
+                  union select b.word, a.word, a.n from cuts a join words b on a.d = b.word),
+        best as (select word, count(*) as n_near, arg_min(near, (-n, near)) as near, max(n) as m from pairs group by word),
+        forms as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 5 * w.n then near end as form, case when m >= 5 * w.n then m end as form_n
+                  from words w left join best using (word)),
+        follow(word, at_) as (select word, word from forms union all select f.word, g.form from follow f join forms g on g.word = f.at_ where g.form is not null)
+        select f.word, f.form, r.root, f.n, f.n_near, f.form_n
+        from forms f join (select word, at_ as root from follow join (select word as w2 from forms where form is null) on at_ = w2) r using (word)""",
 }
