@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, hilbert, jaccard, orc_tokens, passages, quoting, repair, spelling, toxicity, warc, winnow
+from tickloom.llm import bpe, decontam, hilbert, jaccard, ngram, orc_tokens, passages, quoting, repair, spelling, toxicity, warc, winnow
 from tickloom.llm.common import shared_dir, table
 
 
@@ -64,6 +64,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")), copies="copies")
 
 
+def op12_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram.scored(docs, ngram.train(docs))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_ngram_scores": op12_ngram_scores,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
