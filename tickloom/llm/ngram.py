@@ -29,14 +29,14 @@ from tickloom.llm.eliasfano import Trie
 #: Added to each count of the unigram; unseen words share one place.
 ADDED = 0.1
 #: Words the prior counts for.
-WEIGHT = 30.0
+WEIGHT = 100.0
 CLASS_BITS = 20
 START = 1 << CLASS_BITS
 #: Hash of the end of a text.
 END = np.uint64(0x5EED0E4D0F7E87A1)
 #: Words and texts of a block, pairs of a piece, text bytes that a fine and a coarse shard stand for, and shards at least.
 BLOCK_WORDS, BLOCK_TEXTS, PIECE = 1_500_000, 60_000, 1 << 20
-FINE_BYTES, SHARD_BYTES, SHARDS = 96 << 20, 768 << 20, 8
+FINE_BYTES, SHARD_BYTES, SHARDS = 32 << 20, 768 << 20, 8
 
 
 def _held_out(ids: list, folds: int) -> np.ndarray:
@@ -98,11 +98,29 @@ def _nested(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words[at], np.diff(np.append(at, len(words))).astype(np.uint32)
 
 
+def _thin(values: np.ndarray) -> bytes:
+    """Bytes of an array, all lowest ones first: what Spark compresses then has the empty high bytes side by side."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _thick(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _thin_sorted(values: np.ndarray) -> bytes:
+    return _thin(np.diff(values, prepend=np.uint64(0)))
+
+
+def _thick_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(_thick(raw, "<u8"), dtype=np.uint64)
+
+
 # --- training --------------------------------------------------------------------------------
 
 
 def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = PIECE) -> DataFrame:
-    """Stored table of pieces: (shard, tokens, words, counts, kids, contexts, n), arrays as bytes; texts of fold 0 are left out."""
+    """Stored table of pieces: (shard, tokens, types, words, counts, kids, contexts, n), arrays as bytes; texts of fold 0 are left out."""
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, words, context, text in _blocks(batches):
             taken = ~_held_out(ids, folds)[text]
@@ -112,7 +130,7 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
             for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 if a < b:
                     different, kids = _nested(words[a:b])
-                    for c, x in zip(rows, (s, different.tobytes(), kids.tobytes(), context[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes()), strict=True):
+                    for c, x in zip(rows, (s, _thin_sorted(different), _thin(kids), _thin(context[a:b]), _thin(n[a:b].astype(np.uint32))), strict=True):
                         rows[c].append(x)
             yield pa.RecordBatch.from_arrays([pa.array(rows["shard"], pa.int32()), *(pa.array(rows[c], pa.binary()) for c in list(rows)[1:])], list(rows))
 
@@ -128,8 +146,8 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
                 if s != of:
                     yield from emptied()
                     of, held, size, folded = s, [], 0, 0
-                different, kids, context, n = (np.frombuffer(x, t) for x, t in zip(raw, ("<u8", "<u4", "<u4", "<u4"), strict=True))
-                held.append((np.repeat(different, kids), context, n.astype(np.uint64)))
+                kids, context, n = (_thick(x, "<u4") for x in raw[1:])
+                held.append((np.repeat(_thick_sorted(raw[0]), kids), context, n.astype(np.uint64)))
                 size += len(n)
                 if size > 2 * folded + (1 << 20):  # what is held is the different pairs, and as many again
                     held = [_folded(*map(np.concatenate, zip(*held, strict=True)))]
@@ -152,7 +170,7 @@ def _pieces(shard: int, words: np.ndarray, context: np.ndarray, n: np.ndarray, p
         kids = np.diff(at[begin:end + 1]).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([int(counts.sum())]), pa.array([end - begin]),
-             *(pa.array([x.tobytes()], pa.binary()) for x in (words[at[begin:end]], counts, kids, context[a:b], n[a:b].astype(np.uint64)))],
+             *(pa.array([x], pa.binary()) for x in (_thin_sorted(words[at[begin:end]]), *map(_thin, (counts, kids, context[a:b], n[a:b].astype(np.uint64)))))],
             ["shard", "tokens", "types", "words", "counts", "kids", "contexts", "n"])
         begin = end
 
@@ -177,7 +195,7 @@ def _totals(counts: DataFrame, weight: float) -> Totals:
     def classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, n in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                words, n = np.frombuffer(words, "<u8"), np.frombuffer(n, "<u8").astype(np.int64)
+                words, n = _thick_sorted(words), _thick(n, "<u8").astype(np.int64)
                 inner = words != END  # the end of a text is no context
                 words, n = words[inner], n[inner]
                 group = (words >> np.uint64(64 - CLASS_BITS)).astype(np.int32)
@@ -197,8 +215,8 @@ def tries(counts: DataFrame, totals: Totals) -> DataFrame:
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                words, counts_, kids, contexts, n = (np.frombuffer(batch.column(c)[row].as_py(), t) for c, t in (
-                    ("words", "<u8"), ("counts", "<u8"), ("kids", "<u4"), ("contexts", "<u4"), ("n", "<u8")))
+                words = _thick_sorted(batch.column("words")[row].as_py())
+                counts_, kids, contexts, n = (_thick(batch.column(c)[row].as_py(), t) for c, t in (("counts", "<u8"), ("kids", "<u4"), ("contexts", "<u4"), ("n", "<u8")))
                 values = totals.pair(np.repeat(totals.unigram(counts_), kids), contexts, n)
                 yield pa.RecordBatch.from_arrays([batch.column("shard")[row:row + 1], pa.array([Trie.build(words, counts_, kids, contexts, values)], pa.binary())],
                                                  ["shard", "trie"])
@@ -261,8 +279,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     continue
                 new = _starts(words[a:b], context[a:b])
                 different, kids = _nested(words[a:b][new])
-                rows.append((int(shift[s] + mix(np.array([block], np.uint64))[0] % np.uint64(parts[s])), block, _SUMS, different.tobytes(), kids.tobytes(),
-                             context[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype(np.uint32).tobytes(), text[a:b].tobytes(), times[a:b].tobytes()))
+                rows.append((int(shift[s] + mix(np.array([block], np.uint64))[0] % np.uint64(parts[s])), block, _SUMS, _thin_sorted(different), _thin(kids),
+                             *map(_thin, (context[a:b][new], np.diff(np.append(new, b - a)).astype(np.uint32), text[a:b], times[a:b]))))
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()),
                                               *(pa.array(c, pa.binary()) for c in columns[3:])], ["part", "block", "kind", *"abcdef"])
@@ -334,7 +352,8 @@ def _sums(block: int, kind: int, raw: list[bytes]) -> pa.RecordBatch:
 
 def _part_sums(raw: list[bytes], level: list[Trie], totals: Totals) -> list[bytes]:
     """Sums over the words of one shard for the texts of a block: (text, known, base, score)."""
-    different, kids, context, texts, text, times = (np.frombuffer(x, t) for x, t in zip(raw, ("<u8", "<u4", "<u4", "<u4", "<u2", "<u4"), strict=True))
+    different = _thick_sorted(raw[0])
+    kids, context, texts, text, times = (_thick(x, t) for x, t in zip(raw[1:], ("<u4", "<u4", "<u4", "<u2", "<u4"), strict=True))
     count = np.zeros(len(different), np.int64)
     value, seen = np.zeros(len(context)), np.zeros(len(context), bool)
     bounds = np.concatenate([[0], np.cumsum(kids)]).astype(np.int64)
