@@ -191,20 +191,21 @@ class Totals:
 
 
 def _totals(counts: DataFrame, weight: float) -> Totals:
-    """Sums of all pieces.  Each tells its words' counts by context class: at most as many rows as there are classes and pieces."""
+    """Sums of all pieces.  A piece covers a range of context classes, and ranges meet in one class at most: what is fetched has a bound."""
     def classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, n in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 words, n = _thick_sorted(words), _thick(n, "<u8").astype(np.int64)
                 inner = words != END  # the end of a text is no context
-                words, n = words[inner], n[inner]
-                group = (words >> np.uint64(64 - CLASS_BITS)).astype(np.int32)
-                at = _starts(group)
-                yield pa.RecordBatch.from_arrays([pa.array(group[at]), pa.array(np.add.reduceat(n, at) if len(at) else n)], ["class", "n"])
+                group = (words[inner] >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
+                if len(group):
+                    dense = np.bincount(group - group[0], n[inner]).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(group[:1]), pa.array([dense.tobytes()], pa.binary())], ["first", "n"])
 
     table = np.zeros(START + 1)
-    got = counts.select("words", "counts").mapInArrow(classes, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toPandas()
-    table[got["class"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+    for first, n in counts.select("words", "counts").mapInArrow(classes, "first long, n binary").toLocalIterator():
+        n = np.frombuffer(n, "<i8")
+        table[first:first + len(n)] += n
     tokens, types = counts.agg(F.sum("tokens"), F.sum("types")).first()
     table[START] = (tokens or 0) - table.sum()  # a text begins as often as it ends
     return Totals(tokens or 0, types or 0, table.astype(np.float32), weight)
