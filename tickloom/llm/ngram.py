@@ -35,7 +35,7 @@ START = 1 << CLASS_BITS
 #: Hash of the end of a text.
 END = np.uint64(0x5EED0E4D0F7E87A1)
 #: Words and texts of a block, pairs of a piece, text bytes that a fine and a coarse shard stand for, and shards at least.
-BLOCK_WORDS, BLOCK_TEXTS, PIECE = 1_500_000, 60_000, 1 << 20
+BLOCK_WORDS, BLOCK_TEXTS, PIECE = 1_000_000, 60_000, 1 << 18
 FINE_BYTES, SHARD_BYTES, SHARDS = 32 << 20, 768 << 20, 8
 
 
@@ -61,13 +61,20 @@ def _blocks(batches: Iterable[pa.RecordBatch], words: int = BLOCK_WORDS) -> Iter
             context[1:] = hashes[:-1] >> np.uint64(64 - CLASS_BITS)
             context[ends - n] = START
             if ids and (size + len(hashes) > words or len(ids) + len(n) > BLOCK_TEXTS):
-                yield ids, *map(np.concatenate, zip(*parts, strict=True))
-                ids, parts, size = [], [], 0
+                yield ids, *_joined(parts)
+                ids, size = [], 0
             parts.append((hashes, context, np.repeat(np.arange(len(n), dtype=np.uint16) + np.uint16(len(ids)), n)))
             ids.extend(part.column("doc_id").to_pylist())
             size += len(hashes)
     if ids:
-        yield ids, *map(np.concatenate, zip(*parts, strict=True))
+        yield ids, *_joined(parts)
+
+
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """The arrays of all parts, one after the other; the parts are let go."""
+    whole = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    parts.clear()
+    return whole
 
 
 def _shard(words: np.ndarray, shards: int) -> np.ndarray:
@@ -139,7 +146,7 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
 
         def emptied() -> Iterator[pa.RecordBatch]:
             if of is not None:
-                yield from _pieces(of // ratio, *_folded(*map(np.concatenate, zip(*held, strict=True))), piece)
+                yield from _pieces(of // ratio, *_folded(*_joined(held)), piece)
 
         for batch in batches:
             for s, *raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
@@ -149,8 +156,8 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
                 kids, context, n = (_thick(x, "<u4") for x in raw[1:])
                 held.append((np.repeat(_thick_sorted(raw[0]), kids), context, n.astype(np.uint64)))
                 size += len(n)
-                if size > 2 * folded + (1 << 20):  # what is held is the different pairs, and as many again
-                    held = [_folded(*map(np.concatenate, zip(*held, strict=True)))]
+                if size > 2 * folded + (1 << 19):  # what is held is the different pairs, and as many again
+                    held.append(_folded(*_joined(held)))
                     size = folded = len(held[0][0])
         yield from emptied()
 
