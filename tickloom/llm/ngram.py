@@ -106,13 +106,18 @@ def _nested(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _thin(values: np.ndarray) -> bytes:
-    """Bytes of an array, all lowest ones first: what Spark compresses then has the empty high bytes side by side."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """Bytes of an array, all lowest ones first, without the high bytes that are zero throughout."""
+    top = int(values.max(initial=0))
+    width = max(1, (top.bit_length() + 7) // 8)
+    return values.view(np.uint8).reshape(-1, values.itemsize)[:, :width].T.tobytes() + bytes([width])
 
 
 def _thick(raw: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    width = raw[-1]
+    planes = np.frombuffer(raw, np.uint8, len(raw) - 1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = planes.T
+    return out.view(kind).ravel()
 
 
 def _thin_sorted(values: np.ndarray) -> bytes:
@@ -149,7 +154,8 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
                 yield from _pieces(of // ratio, *_folded(*_joined(held)), piece)
 
         for batch in batches:
-            for s, *raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in range(batch.num_rows):
+                s, *raw = (batch.column(i)[row].as_py() for i in range(5))
                 if s != of:
                     yield from emptied()
                     of, held, size, folded = s, [], 0, 0
