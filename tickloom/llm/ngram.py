@@ -16,11 +16,12 @@ from __future__ import annotations
 import tempfile
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import Words, chunks, mix, store
@@ -39,6 +40,18 @@ BLOCK_WORDS, BLOCK_TEXTS, PIECE = 1_000_000, 60_000, 1 << 18
 FINE_BYTES, SHARD_BYTES, SHARDS = 32 << 20, 768 << 20, 8
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs run here get Arrow batches of about ``size``: rows are arrays, and a task holds one batch next to its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _held_out(ids: list, folds: int) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % folds == 0 for i in ids], bool)
 
@@ -168,8 +181,10 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
         yield from emptied()
 
     pairs = docs.select("doc_id", "text").mapInArrow(send, "shard int, words binary, kids binary, contexts binary, n binary")
-    return store(pairs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
-        fold, "shard int, tokens long, types long, words binary, counts binary, kids binary, contexts binary, n binary"), "counts")
+    folded_pairs = pairs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
+        fold, "shard int, tokens long, types long, words binary, counts binary, kids binary, contexts binary, n binary")
+    with _small_batches(docs.sparkSession):
+        return store(folded_pairs, "counts")
 
 
 def _pieces(shard: int, words: np.ndarray, context: np.ndarray, n: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
@@ -235,7 +250,8 @@ def tries(counts: DataFrame, totals: Totals) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("shard")[row:row + 1], pa.array([Trie.build(words, counts_, kids, contexts, values)], pa.binary())],
                                                  ["shard", "trie"])
 
-    return store(counts.mapInArrow(build, "shard int, trie binary"), "tries")
+    with _small_batches(counts.sparkSession):
+        return store(counts.mapInArrow(build, "shard int, trie binary"), "tries")
 
 
 class Model:
@@ -330,6 +346,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                                                                    *[none.alias(c) for c in "bcdef"])
     sums = models.union(queries).repartition(int(parts.sum()), "part").sortWithinPartitions("part", "block").mapInArrow(
         look, "block long, kind int, a binary, b binary, c binary, d binary")
+    with _small_batches(docs.sparkSession):
+        sums = store(sums, "sums")
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, ids = None, None
