@@ -37,7 +37,7 @@ START = 1 << CLASS_BITS
 END = np.uint64(0x5EED0E4D0F7E87A1)
 #: Words and texts of a block, pairs of a piece, text bytes that a fine and a coarse shard stand for, and shards at least.
 BLOCK_WORDS, BLOCK_TEXTS, PIECE = 1_000_000, 60_000, 1 << 18
-FINE_BYTES, SHARD_BYTES, SHARDS = 32 << 20, 768 << 20, 8
+FINE_BYTES, SHARD_BYTES, SHARDS = 32 << 20, 768 << 20, 16
 
 
 @contextmanager
@@ -181,7 +181,7 @@ def counted(docs: DataFrame, shards: int, ratio: int, folds: int, piece: int = P
         yield from emptied()
 
     pairs = docs.select("doc_id", "text").mapInArrow(send, "shard int, words binary, kids binary, contexts binary, n binary")
-    folded_pairs = pairs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
+    folded_pairs = pairs.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard").mapInArrow(
         fold, "shard int, tokens long, types long, words binary, counts binary, kids binary, contexts binary, n binary")
     with _small_batches(docs.sparkSession):
         return store(folded_pairs, "counts")
@@ -344,7 +344,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     none = F.lit(None).cast("binary")
     models = model.tries.join(F.broadcast(spread), "shard").select("part", F.lit(-1).cast("long").alias("block"), F.lit(_SUMS).alias("kind"), F.col("trie").alias("a"),
                                                                    *[none.alias(c) for c in "bcdef"])
-    sums = models.union(queries).repartition(int(parts.sum()), "part").sortWithinPartitions("part", "block").mapInArrow(
+    sums = models.union(queries).repartitionById(int(parts.sum()), F.col("part")).sortWithinPartitions("part", "block").mapInArrow(
         look, "block long, kind int, a binary, b binary, c binary, d binary")
     with _small_batches(docs.sparkSession):
         sums = store(sums, "sums")
