@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import streams, views
 from tickloom.functions.dates import calendar_columns, date_id, date_of_id
 from tickloom.functions.numeric import rnd
+from tickloom.operators import arma as AR
 from tickloom.operators import bars as B
 from tickloom.operators import clean as C
 from tickloom.operators import forecast as FC
@@ -379,6 +380,17 @@ def indicators_small_blocks(spark, sf):
         "ticker", "date", "close", "volume", "is_outlier", *INDICATORS)
 
 
+@query
+def indicators_in_batches(spark, sf):
+    """Three runs, each with the state the one before left, in blocks shorter than the batches."""
+    bars, state, parts = bars_table(spark, sf), None, []
+    for begin, end in ((0, 1994), (1994, 1997), (1997, 9999)):
+        batch = cut_lineage(bars.filter(F.year("window_start").between(begin, end - 1)), "batch")
+        done, state = I.continue_indicators(batch, state, block_rows=700, warmup=700)
+        parts.append(done)
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("ticker", "date", "close", "volume", "is_outlier", *INDICATORS)
+
+
 @query
 def quality_report(spark, sf):
     return Q.quality_report(silver_table(spark, sf))
@@ -661,6 +673,32 @@ def predict_next(spark, sf):
     return predict_next_close(fact_table(spark, sf), dim_ticker_table(spark, sf))
 
 
+@query
+def arma_forecast(spark, sf):
+    """Autoregressive moving-average model refitted on all closes up to each row."""
+    rows = AR.expanding_forecast(fact_table(spark, sf).select("ticker_id", "date_id", "close", TARGET))
+    return as_scored(rows.filter(F.col(TARGET).isNotNull()), "arma")
+
+
+@query
+def arma_kept(spark, sf):
+    """One model per ticker, kept from the training rows, carried over the test rows."""
+    rows = fact_table(spark, sf).select("ticker_id", "date_id", "close", TARGET)
+    train = split_table(spark, sf).filter("split = 'train'").select("ticker_id", "date_id")
+    models = AR.expanding_models(rows.filter(F.col(TARGET).isNotNull())).join(train, ["ticker_id", "date_id"], "left_semi")
+    return as_scored(AR.kept_forecast(rows, AR.kept_models(models)).filter(F.col(TARGET).isNotNull()), "arma-kept")
+
+
+@query
+def expanding_sums(spark, sf):
+    """Sums of products (in millions) behind the models of each row, in blocks shorter than the series."""
+    lags = [f"d{i}" for i in range(2, 4)]
+    rows = AR.with_changes(fact_table(spark, sf).select("ticker_id", "date_id", "close"), 3, block_rows=300)
+    sums = AR.running_sums(rows, ["ticker_id"], lags, "d1", through=True, block_rows=300)
+    named = {"g11": F.col("gram")[0], "g12": F.col("gram")[1], "g22": F.col("gram")[2], "m1": F.col("moment")[0], "m2": F.col("moment")[1]}
+    return sums.select("ticker_id", "date_id", "n", *[rnd(c / 1_000_000, 2).alias(k) for k, c in named.items()])
+
+
 def _trees(spark, sf):
     key = (spark.sparkContext.applicationId, sf, "trees-model")
     if key not in _STORED:

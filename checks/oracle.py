@@ -353,6 +353,7 @@ ORACLE = {
     "ind_volume_z": _indicator("volume_zscore"),
     "indicators_all": _indicator("close, volume, is_outlier, " + _INDICATORS),
     "indicators_small_blocks": _indicator("close, volume, is_outlier, " + _INDICATORS),
+    "indicators_in_batches": _indicator("close, volume, is_outlier, " + _INDICATORS),
     "quality_report": ctes("silver") + """,
         numbered as (select *, row_number() over (partition by ticker order by date) as rn from silver),
         counts as (select count(*) as total_rows,
@@ -478,6 +479,12 @@ ORACLE = {
                (select count(*) from fact where target_next_close is null) as null_target,
                (select count(*) from fact where target_next_close is not null) - (select count(*) from loaded) as null_features,
                (select count(*) from loaded) as kept_rows""",
+    "expanding_sums": ctes("fact") + f""",
+        d as (select ticker_id, date_id, close - lag(close) over (partition by ticker_id order by date_id) as d1 from fact),
+        l as (select *, lag(d1) over w as d2, lag(d1, 2) over w as d3 from d window w as (partition by ticker_id order by date_id))
+        select ticker_id, date_id, count(d3) over w as n, {", ".join(r(f"coalesce(sum(case when d3 is not null then {a} * {b} end) over w, 0) / 1000000", 2) + f" as {n}"
+            for n, a, b in (("g11", "d2", "d2"), ("g12", "d2", "d3"), ("g22", "d3", "d3"), ("m1", "d2", "d1"), ("m2", "d3", "d1")))}
+        from l window w as (partition by ticker_id order by date_id)""",
     "time_split": ctes("split") + "select ticker_id, date_id, split from split",
     "scale_features": ctes("split") + f""",
         stats as (select ticker_id, {', '.join(f'avg({c}) as m_{c}, stddev_pop({c}) as s_{c}' for c in _FEATURES)}

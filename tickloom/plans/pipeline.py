@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.bars import align_daily, with_ingest_metadata
 from tickloom.operators.clean import clean_bars
-from tickloom.operators.indicators import add_indicators
+from tickloom.operators.indicators import add_indicators, continue_indicators, split_late
 from tickloom.operators.mlprep import nan_to_null
 from tickloom.operators.quality import quality_report, stop_on_critical
 from tickloom.operators.star import dim_date, dim_market_session, dim_ticker, fact_prices
@@ -18,6 +18,7 @@ from tickloom.operators.validate import daily_is_valid
 from tickloom.schemas import BRONZE, DIM_TICKER, INDICATORS, SILVER
 from tickloom.session import cut_lineage, use_utc
 from tickloom.sources.history import read_history
+from tickloom.sources import release
 from tickloom.sources.lake import PARTITIONS, read_bars, write_bars, write_report, write_table
 
 # Load order and conflict keys of the relational tables.
@@ -109,6 +110,49 @@ def silver_to_gold(spark: SparkSession, lake: Lake) -> None:
     write_table(fact_prices(silver, tickers), lake.gold("fact_stock_prices"), ("ticker_id", "date_id"))
 
 
+def run_increment(spark: SparkSession, lake: Lake, arrived: DataFrame, name: str | None = None, stop: bool = True) -> DataFrame:
+    """Newly landed bronze bars to silver and gold in one release; returns the quality report of the new rows.
+
+    Series that only go on are continued from their stored state, so a run reads the new bars and one row per series, and silver grows
+    by a part.  Tickers with corrected or late bars are computed anew from bronze, which holds the new bars too, and silver is
+    then written whole.  Gold is built from silver.  All tables, the state and the report become visible together, and with
+    ``stop`` only if no critical rule failed.
+    """
+    use_utc(spark)
+    root = f"{lake.root}/releases"
+    new = release.Release(spark, root, name or run_id("increment"))
+    state, before = release.read(spark, root, "state"), release.read(spark, root, "silver")
+    columns = SILVER.fieldNames()
+    clean = cut_lineage(clean_bars(arrived), "clean-bars")
+    again = None
+    if state is None:
+        silver, ends = continue_indicators(clean)
+    else:
+        later, late = split_late(clean, state)
+        again = cut_lineage(late.select("ticker").distinct(), "late-tickers")
+        silver, ends = continue_indicators(cut_lineage(later.join(again, "ticker", "left_anti"), "later-bars"), state)
+        if again.limit(1).count():
+            whole = cut_lineage(clean_bars(read_bars(spark, lake.bronze, BRONZE)).join(again, "ticker", "left_semi"), "whole-series")
+            redone, fresh = continue_indicators(whole)
+            silver = silver.unionByName(redone)
+            ends = ends.join(again, "ticker", "left_anti").unionByName(fresh)
+        else:
+            again = None
+    report = new.add("quality", quality_report(silver))
+    new.add("state", ends)
+    if again is None:
+        stored = new.extend("silver", silver.select(*columns), ("ticker", "window_start"))
+    else:
+        kept = before.join(again, "ticker", "left_anti").select(*columns)
+        stored = new.add("silver", kept.unionByName(silver.select(*columns)), ("ticker", "window_start"))
+    tickers = new.add("dim_ticker", dim_ticker(stored, release.read(spark, root, "dim_ticker")))
+    new.add("dim_date", dim_date(stored.filter("bar_interval = '1d'")))
+    new.add("dim_market_session", dim_market_session(spark))
+    new.add("fact_stock_prices", fact_prices(stored, tickers), ("ticker_id", "date_id"))
+    new.publish(lambda: not stop or not report.filter("not pass and severity = 'CRITICAL'").limit(1).count())
+    return report
+
+
 def load_gold(spark: SparkSession, lake: Lake, upsert_table) -> dict[str, int]:
     """Upsert the gold tables in key order through ``upsert_table(df, name, keys)``; row counts."""
     counts = {}
