@@ -178,8 +178,10 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
         marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "sigs"))
     # one exchange serves both uses; a signature has one row per different set, and a set has many signatures
     signs = own.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
-    shared = signs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most")).filter("rep < most").select("sig", "rep")
-    stars = store(signs.join(shared, "sig").filter("doc_id <> rep").select("doc_id", "rep").distinct(), "stars")
+    shared = signs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"), (F.count(F.lit(1)) > 2).alias("crowd")) \
+        .filter("rep < most").select("sig", "rep", "crowd")
+    # linked sets share a signature, so two members need a look at each other only if a signature has both of them and the representative
+    stars = store(signs.join(shared, "sig").filter("doc_id <> rep").groupBy("doc_id", "rep").agg(F.max("crowd").alias("crowd")), "stars")
 
     # sets of the documents that occur, from their texts; the filter has a fixed size and the join is exact
     members = stars.select("doc_id").union(stars.select("rep")).distinct()
@@ -189,8 +191,9 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     linked = near.filter("linked").select("a", "b")
 
     # pairs of two documents of one star: common elements in the prefixes of their differences, rare elements first
-    open_ = near.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("u")).filter("n > 1 and u > 0").select("b")
-    apart = store(near.join(open_, "b", "left_semi")
+    crowded = near.filter("crowd")
+    open_ = crowded.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("u")).filter("n > 1 and u > 0").select("b")
+    apart = store(crowded.join(open_, "b", "left_semi")
                   .select("a", "b", "linked", "wide", "strict", "f", F.size("difference").alias("d"), F.explode("difference").alias("h")), "differences")
     often = apart.groupBy("b", "h").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("b", "a").orderBy("n", "h"))
@@ -203,7 +206,7 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     both = failed.filter("near").join(other.filter("not y_linked and y_near"), ["b", "h"]).filter(f"x < y and {enough}")
     mixed = failed.join(other.filter("y_linked"), ["b", "h"]).filter(f"x <> y and {enough}").select("x", "y")
     rest = both.select("x", "y").union(mixed.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
-    rest = store(rest.select(F.col("x").alias("a"), F.col("y").alias("b")), "rest")
+    rest = store(rest.select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(False).alias("crowd")), "rest")
     more = _compare(rest, sets, percent, False).filter("linked").select("a", "b")
     return store(linked.union(more), "links")
 
@@ -226,7 +229,7 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int, prefixes: bool) -> DataFrame:
-    """Adds ``linked`` to pairs (a, b) and, for stars, a's ``difference`` to b and how many of its rarest elements matter:
+    """Adds ``linked`` to pairs (a, b) and, for stars in a ``crowd``, a's ``difference`` to b and how many of its rarest elements matter:
     ``wide`` of them for links with linked members, ``strict`` for those with members that are not linked.
 
     With D the elements that are in one of a and b only, 100 * common >= percent * all says F(a) + F(b) <= 0
@@ -235,13 +238,13 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int, prefixes: bool) ->
     """
     low, high = 100 - percent, 100 + percent
 
-    def one(a: bytes, b: bytes) -> tuple[bool, int, int, int, np.ndarray]:
+    def one(a: bytes, b: bytes, crowd: bool) -> tuple[bool, int, int, int, np.ndarray]:
         x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
         spot = np.minimum(np.searchsorted(y, x), len(y) - 1)
         common = y[spot] == x
         d = len(x) + len(y) - 2 * int(common.sum())
         linked = low * (len(x) + len(y)) >= high * d
-        if not prefixes:
+        if not crowd:
             return linked, 0, 0, 0, x[:0]
         inside = np.zeros(len(y), bool)
         inside[spot[common]] = True
@@ -254,14 +257,14 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int, prefixes: bool) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [one(a.as_buffer(), b.as_buffer()) for a, b in zip(batch.column("x"), batch.column("y"), strict=True)]
+            got = [one(a.as_buffer(), b.as_buffer(), c) for a, b, c in zip(batch.column("x"), batch.column("y"), batch.column("crowd").to_pylist(), strict=True)]
             linked, wide, strict, fs, values = zip(*got, strict=True) if got else ((), (), (), (), ())
-            out = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())]
+            out = [batch.column("a"), batch.column("b"), batch.column("crowd"), pa.array(linked, pa.bool_())]
             if prefixes:
                 cuts = np.concatenate([[0], np.cumsum([len(v) for v in values])])
                 out += [pa.array(wide, pa.int32()), pa.array(strict, pa.int32()), pa.array(fs, pa.int64()), ragged(signed(np.concatenate([*values, np.zeros(0, np.uint64)])), cuts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(out, ["a", "b", "linked", "wide", "strict", "f", "difference"][:len(out)])
+            yield pa.RecordBatch.from_arrays(out, ["a", "b", "crowd", "linked", "wide", "strict", "f", "difference"][:len(out)])
 
     with_sets = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b") \
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").select("a", "b", "x", "y")
-    return with_sets.mapInArrow(run, "a long, b long, linked boolean" + ", wide int, strict int, f long, difference array<long>" * prefixes)
+        .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").select("a", "b", "crowd", "x", "y")
+    return with_sets.mapInArrow(run, "a long, b long, crowd boolean, linked boolean" + ", wide int, strict int, f long, difference array<long>" * prefixes)
