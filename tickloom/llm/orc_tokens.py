@@ -51,6 +51,7 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         special = sorted((i, t.content) for i, t in self.library.get_added_tokens_decoder().items() if t.special)
         self.mark_id, self.mark = special[0] if special else (None, None)
+        self.lowered = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         model = json.loads(self.library.to_str())["model"]
         suffix = model.get("end_of_word_suffix")
         self.is_end = np.zeros(self.library.get_vocab_size(True) + 1, bool)
@@ -103,10 +104,13 @@ class WordTokenizer:
 
     def _fresh(self, words: list[str]) -> None:
         """Adds the ids of words.  Words of Latin letters are looked up in lower case, and a full stop or comma that follows a
-        letter and ends the word is a piece of its own, so that fewer different words reach the library."""
+        letter and ends the word is a piece of its own, so that fewer different words reach the library.  Words that would look like an
+        added token in lower case stay as they are."""
         parts = []
         for w in words:
             base = w.lower() if w.isascii() or max(w) < "\u0130" else w
+            if base != w and any(t in base for t in self.lowered):
+                base = w  # the library looks for added tokens before it lowers letters
             if base[-1:] in (".", ",") and base[-2:-1].isalpha():
                 parts.append((w, base[:-1], base[-1]))
             else:
