@@ -1,6 +1,7 @@
 """Archives, ORC token files and byte-pair encoding: exact round trips and the tokenizers library."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -47,9 +48,26 @@ def test_bpe_word_memory_starts_anew_without_changing_ids(monkeypatch):
     assert got == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
 
 
+def test_bpe_time_grows_with_the_length_of_a_word():
+    coder, lib, rng = bpe.ByteBpe(BYTE), Tokenizer.from_file(BYTE), random.Random(3)
+    some = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("abcdefghij", 3000), ("ab", 5000), ("aé日", 4000), ("the ", 600))]
+    some += ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (bpe.ROUND_BYTES - 1, bpe.ROUND_BYTES, bpe.ROUND_BYTES + 1, 400_000)]
+    begin = time.perf_counter()
+    got = coder.encode(some)
+    assert time.perf_counter() - begin < 20  # it was hours
+    assert got == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+
+
 # --- ORC ---------------------------------------------------------------------------------------
 
 
+def test_words_like_special_tokens_keep_their_case():
+    coder, lib, rng = orc_tokens.WordTokenizer(WORD), Tokenizer.from_file(WORD), random.Random(4)
+    parts = ["<|EndOfText|>", "<|ENDOFTEXT|>", "<|endoftext|>", "<|StartOfText|>", "A", "Plain.", "sentence", " ", ",", "<|", "|>", "É"]
+    some = ["A plain sentence <|EndOfText|> goes on.", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(400)]]
+    assert coder.encode(some) == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+
+
 def test_orc_tokens_equal_the_library(spark, tmp_path):
     data = [(i * 3, t, "x", "y") for i, t in enumerate(texts(seed=4))]
     lib = Tokenizer.from_file(WORD)

@@ -2,11 +2,13 @@
 
 The distinct words of a batch lie in one flat array of symbols.  A round looks all neighbouring pairs
 up in the sorted list of merge pairs by binary search, finds the lowest rank of each word, and joins
-every occurrence of that pair from the left.  A word leaves when no pair of it can merge.
+every occurrence of that pair from the left.  A word leaves when no pair of it can merge.  Very long words take a heap
+instead, so that their time grows with their length.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterable, Iterator
 
@@ -24,6 +26,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 KEPT_WORDS = 300_000
 #: Words longer than this (bytes) are encoded but not kept.
 LONG_WORD = 64
+#: A round merges one pair of each word, so words longer than this go through a heap one by one.
+ROUND_BYTES = 512
 
 
 def byte_letters() -> list[str]:
@@ -59,6 +63,7 @@ class ByteBpe:
         # the pattern cuts such a string into pieces, so it can't be a word of its own
         self.fixed = {k: int(v).to_bytes(4, "little") for k, v in special.items()}
         self.kept = dict(self.fixed)
+        self.table: dict[int, tuple[int, int]] | None = None
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array and the n + 1 bounds of the words."""
@@ -97,6 +102,41 @@ class ByteBpe:
         order = np.argsort(word, kind="stable")
         return symbols[order], np.searchsorted(word[order], np.arange(len(words) + 1))
 
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word: the pair of lowest rank, leftmost first, from a heap; neighbours are linked."""
+        if self.table is None:
+            self.table = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
+        table, symbols = self.table, self.of_byte[np.frombuffer(word, np.uint8)]
+        pair = symbols[:-1] << 32 | symbols[1:]
+        spot = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        begin = np.flatnonzero(self.keys[spot] == pair)
+        heap = (self.ranks[spot[begin]] << 32 | begin).tolist()
+        heapq.heapify(heap)
+        ids, n = symbols.tolist(), len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            top = heapq.heappop(heap)
+            i = top & 0xFFFFFFFF
+            j = after[i]
+            if ids[i] < 0 or j >= n:
+                continue
+            hit = table.get(ids[i] << 32 | ids[j])
+            if hit is None or hit[0] != top >> 32:
+                continue  # one of the two has changed since
+            ids[i], ids[j] = hit[1], -1
+            k, h = after[j], before[i]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                hit = table.get(ids[i] << 32 | ids[k])
+                if hit is not None:
+                    heapq.heappush(heap, hit[0] << 32 | i)
+            if h >= 0:
+                hit = table.get(ids[h] << 32 | ids[i])
+                if hit is not None:
+                    heapq.heappush(heap, hit[0] << 32 | h)
+        return np.array([x for x in ids if x >= 0], np.int64)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         pieces = [self._pieces(t) for t in texts]
@@ -106,9 +146,12 @@ class ByteBpe:
             self.kept = dict(self.fixed)
             fresh = [w for w in seen if w not in self.fixed]
         if fresh:
-            ids, bounds = self.merge([w.encode() for w in fresh])
+            raw = {w: w.encode() for w in fresh}
+            short = [w for w, b in raw.items() if len(b) <= ROUND_BYTES]
+            ids, bounds = self.merge([raw[w] for w in short])
             flat, cuts = ids.astype("<u4").tobytes(), (bounds * 4).tolist()
-            self.kept.update((w, flat[a:b]) for w, a, b in zip(fresh, cuts, cuts[1:], strict=False))
+            self.kept.update((w, flat[a:b]) for w, a, b in zip(short, cuts, cuts[1:], strict=False))
+            self.kept.update((w, self.merge_long(b).astype("<u4").tobytes()) for w, b in raw.items() if len(b) > ROUND_BYTES)
         out = [b"".join(map(self.kept.__getitem__, p)) for p in pieces]
         for w in fresh:
             if len(w) > LONG_WORD:
