@@ -7,10 +7,11 @@ import test_decontam
 import test_jaccard
 import test_passages
 import test_toxicity
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tickloom.llm import toxicity
+from tickloom.llm import jaccard, passages, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -62,3 +63,18 @@ def test_stages_and_run(spark, tmp_path):
         frame = spark.read.parquet(path)
     assert sorted((r.doc_id, r.text) for r in frame.filter("text is not null").collect()) == sorted((d[0], d[1]) for d in cut if d[0] not in dirty and d[1] is not None)
     assert all(r.n_chars == len(r.text) for r in frame.filter("text is not null").collect())
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs, labels, _ = corpus()
+    frame = spark.createDataFrame(docs, DOCS)
+    more = frame
+    names = ["n_words", "kept", "n_removed", "_score", "score", "whole", "carried", "row", "spans", "component_id", "A b"]
+    for name in names:
+        more = more.withColumn(name, F.lit(name))
+    label = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for stage in (passages.with_repeats_cut, lambda d: toxicity.without_toxic(d, label), jaccard.one_of_each_group):
+        plain, wide = stage(frame), stage(more)
+        assert wide.columns == [*frame.columns, *names]
+        assert sorted(map(repr, wide.select(*frame.columns).collect())) == sorted(map(repr, plain.collect()))
+        assert wide.select(F.col("`A b`"), "kept").distinct().collect() == [("A b", "kept")]

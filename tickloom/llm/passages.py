@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.common import Words, bloom, chunks, in_bloom, joined_words, mix, run_hashes, signed, store
 from tickloom.llm.fmindex import FmIndex
@@ -210,8 +211,7 @@ def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW
                 [part.column("doc_id"), joined_words(words, keep), pa.array(n.astype(np.int64)), pa.array((n - np.diff(left)).astype(np.int64)),
                  part.column("carried")], ["doc_id", "kept", "n_words", "n_removed", "carried"])
 
-    kind = rows.schema["carried"].dataType.simpleString()
-    out = f"doc_id long, kept string, n_words long, n_removed long, carried {kind}"
+    out = StructType().add("doc_id", "long").add("kept", "string").add("n_words", "long").add("n_removed", "long").add(rows.schema["carried"])
     # documents that certainly keep all their words don't move; the others meet their ranges
     still = rows.mapInArrow(parts(False), rows.schema)
     moved = rows.mapInArrow(parts(True), rows.schema).join(spans, ["doc_id", "row"], "left")
@@ -222,10 +222,13 @@ def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW
 def with_repeats_cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The documents, all columns: texts that lose words become what ``kept`` holds, the others stay as they are.
 
-    ``n_chars`` follows the text.  A text that is a repeat from end to end becomes empty; its row stays.
+    ``n_chars`` follows the text.  A text that is a repeat from end to end becomes empty; its row stays.  Other columns may have
+    any names.  Nulls, repeated rows and empty tables are as in ``without_repeats``.
     """
-    left = without_repeats(docs, [c for c in docs.columns if c != "doc_id"], window, gram)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = left.withColumn("_text", text)
-    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    # the columns travel as one, so their names meet none of this package's
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    left = without_repeats(whole, ["whole"], window, gram)
+    cut = F.col("n_removed") > 0
+    new = {"text": F.when(cut, F.col("kept")).otherwise(F.col("whole.text")),
+           "n_chars": F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("whole.n_chars")) if "n_chars" in docs.columns else None}
+    return left.select(*[(F.col(f"whole.`{c}`") if new.get(c) is None else new[c]).alias(c) for c in docs.columns])

@@ -336,8 +336,11 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents, all columns, with a score below 0.5."""
-    return with_scores(docs, train(*sample(docs, labels, rows)), "_score").filter("_score < 0.5").drop("_score")
+    """The documents, all columns of whatever names, with a score below 0.5; nulls, repeated rows and empty tables as in ``scored``."""
+    name = "_score"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return with_scores(docs, train(*sample(docs, labels, rows)), name).filter(F.col(name) < 0.5).drop(name)
 
 
 def with_scores(docs: DataFrame, model: Network | float, name: str = "score") -> DataFrame:
