@@ -78,13 +78,16 @@ def _partitions(ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return differ, (differ + spare + PARTS) // PARTS
 
 
-def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """PartEnum signatures of every set and their bounds by set."""
+def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of every set, their bounds by set, and how many at least it shares with any set it links with.
+
+    Sets that differ in d elements have the same elements in all cells but d.  Those cells are signatures, as far as they are not empty.
+    """
     sizes = np.diff(bounds)
     ends = bands(percent, int(sizes.max(initial=1)) * 2 + 2)
     band = np.searchsorted(ends, sizes)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    sigs, owners = [], []
+    sigs, owners, need = [], [], np.full(len(sizes), np.iinfo(np.int32).max)
     for step in (0, 1):  # a set signs for its own band and for the one above
         at = band + step
         differ, partitions = _partitions(ends, percent)
@@ -105,7 +108,9 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
         sig = mix(total + mix((np.arange(cells) - offsets[who]).astype(np.uint64) + salt[who]))
         empty = np.bincount(cell, minlength=cells) == 0
         spare = partitions * PARTS - differ - 1
-        many = np.bincount(who[empty], minlength=len(sizes)) > spare
+        holes = np.bincount(who[empty], minlength=len(sizes))
+        many = holes > spare
+        need = np.minimum(need, np.where(differ == 0, 1, np.maximum(1, partitions * PARTS - differ - holes)))
         whole = differ == 0
         keep = (~whole & (sizes > 0))[who] & (~empty | many[who])
         sigs.append(sig[keep])
@@ -116,7 +121,7 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
         owners.append(single)
     sig, who = np.concatenate(sigs), np.concatenate(owners)
     order = np.argsort(who, kind="stable")
-    return sig[order], np.searchsorted(who[order], np.arange(len(sizes) + 1))
+    return sig[order], np.searchsorted(who[order], np.arange(len(sizes) + 1)), need
 
 
 def _reduce(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -154,13 +159,13 @@ def _nodes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             grams, bounds = shingle_sets(part.column("text"), n)
-            sigs, cuts = signatures(grams, bounds, percent)
+            sigs, cuts, need = signatures(grams, bounds, percent)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(signed(_reduce(mix(grams), bounds))),
-                 pa.array(signed(_reduce(mix(grams * _GOLD + np.uint64(7)), bounds))), ragged(signed(sigs), cuts, pa.int64())],
-                ["doc_id", "n_shingles", "h1", "h2", "sigs"])
+                 pa.array(signed(_reduce(mix(grams * _GOLD + np.uint64(7)), bounds))), ragged(signed(sigs), cuts, pa.int64()), pa.array(need.astype(np.int32))],
+                ["doc_id", "n_shingles", "h1", "h2", "sigs", "need"])
 
-    return store(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>"), "sets")
+    return store(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, need int"), "sets")
 
 
 def _firsts(nodes: DataFrame) -> DataFrame:
@@ -174,14 +179,17 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     copies = store(copies.select("doc_id", "h1", "h2", F.xxhash64("doc_id", "h1", "h2").alias("_k")).distinct(), "copies")
     # most sets are certainly no copies and need no join to show it
     marked = flagged(sets.withColumn("_k", F.xxhash64("doc_id", "h1", "h2")), "_k", copies, "_maybe")
-    own = marked.filter("not _maybe").select("doc_id", "sigs").union(
-        marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "sigs"))
+    own = marked.filter("not _maybe").select("doc_id", "sigs", "need").union(
+        marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "sigs", "need"))
     # one exchange serves both uses; a signature has one row per different set, and a set has many signatures
-    signs = own.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
+    signs = own.select("doc_id", "need", F.explode("sigs").alias("sig")).repartition("sig")
     shared = signs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"), (F.count(F.lit(1)) > 2).alias("crowd")) \
         .filter("rep < most").select("sig", "rep", "crowd")
-    # linked sets share a signature, so two members need a look at each other only if a signature has both of them and the representative
-    stars = store(signs.join(shared, "sig").filter("doc_id <> rep").groupBy("doc_id", "rep").agg(F.max("crowd").alias("crowd")), "stars")
+    # linked sets share ``need`` signatures: a pair alone in all it has as a star must have as many, or it meets in a crowd of a third.
+    # They share one, so two members need a look at each other only if a signature has both of them and the representative
+    stars = store(signs.join(shared, "sig").filter("doc_id <> rep").groupBy("doc_id", "rep")
+                  .agg(F.max("crowd").alias("crowd"), F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+                  .filter("crowd or n >= need").select("doc_id", "rep", "crowd"), "stars")
 
     # sets of the documents that occur, from their texts; the filter has a fixed size and the join is exact
     members = stars.select("doc_id").union(stars.select("rep")).distinct()
