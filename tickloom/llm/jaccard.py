@@ -5,6 +5,9 @@ most ``k`` elements.  The domain of elements is cut into partitions by hash, eac
 ``PARTS`` parts, and for every partition the subsets of ``PARTS - 1`` parts are enumerated: a signature is
 the hash of a set's elements in such a subset.  With ``k`` differences in ``(k + 1) / 2`` partitions some
 partition holds one at most, and one of its subsets avoids it: both sets then share that signature.
+There are some more parts than that, so linked sets share a number of signatures known from their size (``need``).
+A set that shares fewer with all others together links with none and leaves before any comparison: passages that
+many documents have give their sets common signatures, but too few.
 
 Candidates.  No pairs are made within a signature.  Its smallest set is the representative, and every
 other set is compared with that one only.  A pair of others can matter only if one of the two fails
@@ -22,12 +25,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import Words, bloom, chunks, components, flagged, in_bloom, mix, ragged, run_hashes, signed, store
 
 PARTS = 2
+#: Parts beyond those that differences can touch.  More of them part links from shared passages better and cost as many signatures.
+MORE = 0.2
 _HALF = np.uint64(0xFFFFFFFF)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,12 +74,12 @@ def _partitions(ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     """Elements in which two sets of a band may differ, and the number of partitions, by band.
 
     ``k`` differences touch ``k`` parts at most.  ``k + 1`` parts would do; some more are taken, about as many as
-    are empty by chance.  A set with no more empty parts than that signs only for the others: at least one
+    are empty by chance and a part of ``MORE`` besides, which linked sets share on top.  A set with no more empty parts than that signs only for the others: at least one
     of the untouched parts is not empty.  A set with more signs for its empty parts too.
     """
     differ = 2 * (100 - percent) * ends // (100 + percent)
     empty = (differ + 1) * np.exp(-ends / (differ + 1.0))
-    spare = np.ceil(empty + 3 * np.sqrt(empty)).astype(np.int64)
+    spare = np.ceil(empty + 3 * np.sqrt(empty) + MORE * differ).astype(np.int64)
     return differ, (differ + spare + PARTS) // PARTS
 
 
@@ -82,12 +87,15 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
     """PartEnum signatures of every set, their bounds by set, and how many at least it shares with any set it links with.
 
     Sets that differ in d elements have the same elements in all cells but d.  Those cells are signatures, as far as they are not empty.
+    A set signs for two bands, and a pair meets in one.  The lowest bit of a signature is that of its band's number, and ``need``
+    has a row for either bit.
     """
     sizes = np.diff(bounds)
     ends = bands(percent, int(sizes.max(initial=1)) * 2 + 2)
     band = np.searchsorted(ends, sizes)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    sigs, owners, need = [], [], np.full(len(sizes), np.iinfo(np.int32).max)
+    sigs, owners, need = [], [], np.ones((2, len(sizes)), np.int64)
+    apart, along = 100 - percent, 100 + percent
     for step in (0, 1):  # a set signs for its own band and for the one above
         at = band + step
         differ, partitions = _partitions(ends, percent)
@@ -105,19 +113,22 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
         total = low + (high << np.uint64(32))
         who = np.repeat(np.arange(len(sizes)), partitions * PARTS)
         # two parts: leaving one out keeps the other
-        sig = mix(total + mix((np.arange(cells) - offsets[who]).astype(np.uint64) + salt[who]))
+        bit = (at & 1).astype(np.uint64)
+        sig = mix(total + mix((np.arange(cells) - offsets[who]).astype(np.uint64) + salt[who])) & ~np.uint64(1) | bit[who]
         empty = np.bincount(cell, minlength=cells) == 0
         spare = partitions * PARTS - differ - 1
         holes = np.bincount(who[empty], minlength=len(sizes))
         many = holes > spare
-        need = np.minimum(need, np.where(differ == 0, 1, np.maximum(1, partitions * PARTS - differ - holes)))
+        # the largest partner of a set bounds the elements they may differ in
+        most = apart * (sizes + np.minimum(ends[at], sizes * 100 // percent)) // along
+        need[at & 1, np.arange(len(sizes))] = np.where(differ == 0, 1, np.maximum(1, partitions * PARTS - np.minimum(most, differ) - holes))
         whole = differ == 0
         keep = (~whole & (sizes > 0))[who] & (~empty | many[who])
         sigs.append(sig[keep])
         owners.append(who[keep])
         # no difference allowed: the set signs as a whole
         single = np.flatnonzero(whole & (sizes > 0))
-        sigs.append(mix(_reduce(total, offsets)[single] ^ salt[single]))
+        sigs.append(mix(_reduce(total, offsets)[single] ^ salt[single]) & ~np.uint64(1) | bit[single])
         owners.append(single)
     sig, who = np.concatenate(sigs), np.concatenate(owners)
     order = np.argsort(who, kind="stable")
@@ -139,10 +150,12 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, links: boo
     for links; rows without an id keep a null component.
     """
     nodes = _nodes(docs, n, percent)
-    edges = _links(docs, nodes, n, percent)
     # copies of a set belong to its smallest document
-    copies = nodes.filter("n_shingles > 0").join(_firsts(nodes), ["h1", "h2"]).filter("doc_id <> first") \
-        .select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    firsts = _firsts(nodes)
+    copies = nodes.filter("n_shingles > 0").select("doc_id", "h1", "h2").join(firsts, ["h1", "h2"]).filter("doc_id <> first")
+    copies = store(copies.select("doc_id", "h1", "h2", F.xxhash64("doc_id", "h1", "h2").alias("_k"), "first").distinct(), "copies")
+    edges = _links(docs, nodes, copies, n, percent)
+    copies = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     reach = components(edges.union(copies))
     return nodes.select("doc_id", "n_shingles").join(reach, F.col("doc_id") == F.col("node"), "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -162,34 +175,58 @@ def _nodes(docs: DataFrame, n: int, percent: int) -> DataFrame:
             sigs, cuts, need = signatures(grams, bounds, percent)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(signed(_reduce(mix(grams), bounds))),
-                 pa.array(signed(_reduce(mix(grams * _GOLD + np.uint64(7)), bounds))), ragged(signed(sigs), cuts, pa.int64()), pa.array(need.astype(np.int32))],
-                ["doc_id", "n_shingles", "h1", "h2", "sigs", "need"])
+                 pa.array(signed(_reduce(mix(grams * _GOLD + np.uint64(7)), bounds))), ragged(signed(sigs), cuts, pa.int64()), *map(pa.array, need.astype(np.int32))],
+                ["doc_id", "n_shingles", "h1", "h2", "sigs", "need0", "need1"])
 
-    return store(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, need int"), "sets")
+    return store(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, need0 int, need1 int"), "sets")
 
 
 def _firsts(nodes: DataFrame) -> DataFrame:
-    return nodes.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    """Stored, so that a join with it has an exchange right below and a set with very many copies can be split."""
+    found = nodes.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    return store(found.filter("n > 1").select("h1", "h2", "first"), "firsts")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+def _signs(own: DataFrame) -> DataFrame:
+    """One row per set and signature, by signature; ``odd`` tells the band."""
+    return own.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
+
+
+def _odd() -> Column:
+    return F.col("sig").bitwiseAND(1)
+
+
+def _shared_enough(own: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored table of the sets, with the signatures of one band, that share as many signatures with others as a link takes."""
+    shared = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig")
+    counts = rows.join(shared, "sig").groupBy("doc_id", _odd().alias("odd")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("doc_id").agg(F.max(F.when(F.col("odd") == 0, F.col("n"))).alias("n0"), F.max(F.when(F.col("odd") == 1, F.col("n"))).alias("n1"))
+    kept = F.array_compact(F.array(*[F.when(F.col(f"n{i}") >= F.col(f"need{i}"), F.lit(i)) for i in (0, 1)]))
+    enough = own.join(counts, "doc_id").withColumn("_odd", kept).filter(F.size("_odd") > 0)
+    sigs = F.filter("sigs", lambda s: F.array_contains("_odd", s.bitwiseAND(1).cast("int")))
+    return store(enough.select("doc_id", "need0", "need1", sigs.alias("sigs")), "sharing")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, copies: DataFrame, n: int, percent: int) -> DataFrame:
     """Stored table of verified links (a, b) between the first documents of different sets."""
     sets = nodes.filter("n_shingles > 0 and doc_id is not null")
-    copies = sets.select("doc_id", "h1", "h2").join(_firsts(nodes), ["h1", "h2"]).filter("doc_id <> first")
-    copies = store(copies.select("doc_id", "h1", "h2", F.xxhash64("doc_id", "h1", "h2").alias("_k")).distinct(), "copies")
     # most sets are certainly no copies and need no join to show it
+    copies, held = copies.select("doc_id", "h1", "h2", "_k"), ["doc_id", "sigs", "need0", "need1"]
     marked = flagged(sets.withColumn("_k", F.xxhash64("doc_id", "h1", "h2")), "_k", copies, "_maybe")
-    own = marked.filter("not _maybe").select("doc_id", "sigs", "need").union(
-        marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "sigs", "need"))
+    own = marked.filter("not _maybe").select(*held).union(
+        marked.filter("_maybe").join(copies.drop("_k"), ["doc_id", "h1", "h2"], "left_anti").select(*held))
     # one exchange serves both uses; a signature has one row per different set, and a set has many signatures
-    signs = own.select("doc_id", "need", F.explode("sigs").alias("sig")).repartition("sig")
+    own = _shared_enough(own, _signs(own))
+    signs = _signs(own)
     shared = signs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"), (F.count(F.lit(1)) > 2).alias("crowd")) \
         .filter("rep < most").select("sig", "rep", "crowd")
     # linked sets share ``need`` signatures: a pair alone in all it has as a star must have as many, or it meets in a crowd of a third.
     # They share one, so two members need a look at each other only if a signature has both of them and the representative
-    stars = store(signs.join(shared, "sig").filter("doc_id <> rep").groupBy("doc_id", "rep")
-                  .agg(F.max("crowd").alias("crowd"), F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
-                  .filter("crowd or n >= need").select("doc_id", "rep", "crowd"), "stars")
+    pairs = signs.join(shared, "sig").filter("doc_id <> rep").groupBy("doc_id", "rep", _odd().alias("odd")) \
+        .agg(F.max("crowd").alias("crowd"), F.count(F.lit(1)).alias("n"))
+    pairs = pairs.join(own.select("doc_id", "need0", "need1"), "doc_id").withColumn("_near", F.expr("n >= if(odd = 0, need0, need1)"))
+    stars = store(pairs.groupBy("doc_id", "rep").agg(F.max("crowd").alias("crowd"), F.max("_near").alias("near")).filter("crowd or near")
+                  .select("doc_id", "rep", "crowd"), "stars")
 
     # sets of the documents that occur, from their texts; the filter has a fixed size and the join is exact
     members = stars.select("doc_id").union(stars.select("rep")).distinct()
