@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Words, bloom, chunks, components, flagged, in_bloom, mix, ragged, run_hashes, signed, store
+from tickloom.llm.common import Words, bloom, chunks, components, flagged, in_bloom, mix, ragged, run_hashes, sieve, signed, store
 
 PARTS = 2
 #: Parts beyond those that differences can touch.  More of them part links from shared passages better and cost as many signatures.
@@ -198,13 +198,16 @@ def _odd() -> Column:
 
 def _shared_enough(own: DataFrame, rows: DataFrame) -> DataFrame:
     """Stored table of the sets, with the signatures of one band, that share as many signatures with others as a link takes."""
-    shared = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig")
+    # both uses read doc_id and sig, so that they share one exchange
+    shared = rows.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("sig")
     counts = rows.join(shared, "sig").groupBy("doc_id", _odd().alias("odd")).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.groupBy("doc_id").agg(F.max(F.when(F.col("odd") == 0, F.col("n"))).alias("n0"), F.max(F.when(F.col("odd") == 1, F.col("n"))).alias("n1"))
-    kept = F.array_compact(F.array(*[F.when(F.col(f"n{i}") >= F.col(f"need{i}"), F.lit(i)) for i in (0, 1)]))
-    enough = own.join(counts, "doc_id").withColumn("_odd", kept).filter(F.size("_odd") > 0)
-    sigs = F.filter("sigs", lambda s: F.array_contains("_odd", s.bitwiseAND(1).cast("int")))
-    return store(enough.select("doc_id", "need0", "need1", sigs.alias("sigs")), "sharing")
+    enough = counts.join(own.select("doc_id", "need0", "need1"), "doc_id").filter("n >= if(odd = 0, need0, need1)")
+    enough = enough.groupBy("doc_id").agg(F.collect_set("odd").alias("_odd"))
+    # stored, so that the signatures of the other sets need not move to a join
+    enough = store(enough.withColumn("_h", F.xxhash64("doc_id")), "enough")
+    kept = sieve(own.withColumn("_h", F.xxhash64("doc_id")), "_h", enough).drop("_h").join(enough.drop("_h"), "doc_id")
+    sigs = F.filter("sigs", lambda s: F.array_contains("_odd", s.bitwiseAND(1)))
+    return store(kept.select("doc_id", "need0", "need1", sigs.alias("sigs")), "sharing")
 
 
 def _links(docs: DataFrame, nodes: DataFrame, copies: DataFrame, n: int, percent: int) -> DataFrame:
