@@ -11,6 +11,7 @@ from checks import streams, views
 from tickloom.functions.dates import calendar_columns, date_id, date_of_id
 from tickloom.functions.numeric import rnd
 from tickloom.operators import arma as AR
+from tickloom.operators import asof as AO
 from tickloom.operators import bars as B
 from tickloom.operators import clean as C
 from tickloom.operators import forecast as FC
@@ -715,3 +716,30 @@ def gbt_forecast(spark, sf):
 @query
 def feature_importance(spark, sf):
     return FC.feature_importance(_trees(spark, sf), scaled_table(spark, sf))
+
+
+# ---- rows against the last known state, lines that do not parse --------------------------------
+
+@query
+def tick_previous_close(spark, sf):
+    """Each tick with the last daily close that was known at its time."""
+    ticks = views.ticks(spark, sf).select("seq", "ticker", "price", F.timestamp_millis("timestamp_ms").alias("event_time"))
+    known = views.daily(spark, sf).select("ticker", F.date_add(F.to_date("date"), 1).cast("timestamp").alias("known_at"), F.col("close").alias("previous_close"))
+    return AO.asof_join(ticks, known, ["ticker"], "event_time", "known_at", ["previous_close"], block_rows=1000).drop("event_time")
+
+
+@query
+def history_rejects(spark, sf):
+    """Good rows and rejects, by failed columns, of CSV files with damaged cells."""
+    path = shared_dir(spark, "damaged-history")
+    day = F.dayofmonth("date")
+    # Which days get which damage.
+    rows = views.daily_li(spark, sf).withColumns({
+        "close": F.when(day.isin(3, 5), "n/a").otherwise(F.col("close").cast("string")),
+        "volume": F.when(day.isin(5, 7), "12x").otherwise(F.col("volume").cast("string")),
+        "date": F.when(day == 11, "11th").otherwise(F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss")),
+    })
+    rows.select(*H.DAILY_HISTORY.fieldNames()).write.option("header", True).csv(path)
+    good, rejects = H.read_history_checked(spark, path)
+    return rejects.groupBy("failed").agg(F.count(F.lit(1)).alias("rows")) \
+        .union(good.groupBy(F.lit("none").alias("failed")).agg(F.count(F.lit(1)).alias("rows")))

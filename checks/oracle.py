@@ -525,3 +525,12 @@ ORACLE = {
 ORACLE["metrics_common_rows"] = _scored(
     "select l.* from long l join wide w using (ticker_id, date_id) "
     "where w.sma is not null and w.momentum is not null") + "select * from metrics"
+
+ORACLE["tick_previous_close"] = ctes("ticks", "daily") + """
+    select t.seq, t.ticker, t.price, d.close as previous_close
+    from ticks t asof left join daily d
+      on t.ticker = d.ticker and t.event_time >= cast(d.date as timestamp) + interval 1 day"""
+ORACLE["history_rejects"] = ctes("daily_li") + """
+    select case day(date) when 3 then 'close' when 5 then 'close,volume' when 7 then 'volume' when 11 then 'date' else 'none' end as failed,
+           count(*) as rows
+    from daily_li group by 1"""

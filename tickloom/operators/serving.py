@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import ratio, rnd
+from tickloom.operators.asof import DAY_US, asof_join
 from tickloom.operators.indicators import partial_sma
-from tickloom.operators.ordered import block_window, into_blocks, own_rows, with_positions
 from tickloom.schemas import PREDICTIONS
-from tickloom.session import measured
 
 # RSI guide lines.
 OVERBOUGHT, OVERSOLD = 70, 30
@@ -148,26 +147,9 @@ def prediction_log(answers: DataFrame) -> DataFrame:
 def fill_actuals(predictions: DataFrame, closes: DataFrame) -> DataFrame:
     """Fill ``actual_close`` with the close of the first trading day after the prediction's date.
 
-    ``closes`` has one row per (ticker, date).  Each close answers for the days since the close
-    before it, so the as-of lookup becomes an equi-join on (ticker, day) that spreads and
-    skew-splits like any other join; nothing is gathered per ticker.
+    ``closes`` has one row per (ticker, date).  A gap in the trading days, however long, adds no rows.
     """
-    placed = with_positions(closes.select("ticker", "date", "close"), ["ticker"], ["date"],
-                            F.date_trunc("year", "date"))
-    previous = F.lag("date").over(block_window(["ticker"]))
-    spans = own_rows(into_blocks(placed, back=1).withColumn("_previous", previous))
-    next_close = spans.filter("_previous is not null").select(
-        "ticker", F.col("close").alias("_next"),
-        F.explode(F.sequence("_previous", F.date_sub("date", 1))).alias("_day"),
-    )
-    first = measured(closes.groupBy("ticker").agg(
-        F.min("date").alias("_first"), F.min_by("close", "date").alias("_first_close")
-    ), "first-closes")
-    early = F.when(F.to_date("predicted_at") < F.col("_first"), F.col("_first_close"))
-    return (
-        predictions.withColumn("_day", F.to_date("predicted_at"))
-        .join(next_close, ["ticker", "_day"], "left")
-        .join(first, "ticker", "left")
-        .withColumn("actual_close", F.coalesce("actual_close", "_next", early))
-        .select(*predictions.columns)
-    )
+    days = predictions.withColumn("_day", F.to_date("predicted_at"))
+    found = asof_join(days, closes.select("ticker", "date", F.col("close").alias("_next")), ["ticker"], "_day", "date", ["_next"],
+                      forward=True, exact=False, bucket_us=366 * DAY_US)
+    return found.withColumn("actual_close", F.coalesce("actual_close", "_next")).select(*predictions.columns)

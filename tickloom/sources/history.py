@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.functions.numeric import rnd
 from tickloom.operators.validate import require_columns
 from tickloom.schemas import DAILY_HISTORY
+from tickloom.session import cut_lineage
 
 # Vendor column names and ours.
 VENDOR_COLUMNS = {
@@ -30,6 +32,24 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return require_columns(frame, DAILY_HISTORY.fieldNames())
 
 
+def read_history_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """History from CSV files as (rows, rejects): together they are all lines of the files, headers and blank lines apart.
+
+    A reject is the line's text ``raw`` and ``failed``, the columns whose text is not of their type, or ``line`` if the
+    number of cells is wrong.  Lines are parsed once and stored, so both frames come from the same reading.
+    """
+    names = DAILY_HISTORY.fieldNames()
+    reader = spark.read.schema(StructType([*DAILY_HISTORY.fields, StructField("_raw", StringType())]))
+    parsed = cut_lineage(
+        reader.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_raw").csv(path), "history")
+    text = F.from_csv("_raw", ", ".join(f"`{n}` string" for n in names), {"mode": "PERMISSIVE"})
+    bad = [F.when(F.col(n).isNull() & F.col("_text")[n].isNotNull(), F.lit(n)) for n in names]
+    rejects = parsed.filter("_raw is not null").withColumn("_text", text).select(
+        F.col("_raw").alias("raw"), F.coalesce(F.nullif(F.concat_ws(",", *bad), F.lit("")), F.lit("line")).alias("failed"))
+    return parsed.filter("_raw is null").select(*names), rejects
+
+
 def normalise_history(vendor: DataFrame, ticker: str | None, source: str, zone: str = "UTC") -> DataFrame:
     """Vendor rows -> history rows: our names, UTC time, 4 decimals, whole shares.
 
