@@ -13,8 +13,8 @@ Candidates.  No pairs are made within a signature.  Its smallest set is the repr
 other set is compared with that one only.  A pair of others can matter only if one of the two fails
 the comparison; then their differences to the representative must overlap in a number of elements
 that the lengths give, and a join on short prefixes of those differences, rare elements first, finds
-all such pairs.
-Every candidate is compared exactly, so the links found connect exactly what all links connect.
+all such pairs.  Before it, every set is compared with one such partner, and pairs that are connected by then are left out.
+Every other candidate is compared exactly, so the links found connect exactly what all links connect.
 
 Sets are hashed: two different n-grams count as one if their 64-bit hashes agree.
 """
@@ -247,18 +247,38 @@ def _links(docs: DataFrame, nodes: DataFrame, copies: DataFrame, n: int, percent
     rank = F.row_number().over(Window.partitionBy("b", "a").orderBy("n", "h"))
     prefix = apart.join(often, ["b", "h"]).withColumn("at", rank).filter("at <= wide")
     prefix = store(prefix.select("b", "h", F.col("a").alias("x"), "linked", (F.col("at") <= F.col("strict")).alias("near"), "f", (F.col("d") - F.col("at")).alias("left")), "prefixes")
-    other = prefix.select("b", "h", F.col("x").alias("y"), F.col("linked").alias("y_linked"), F.col("near").alias("y_near"), F.col("f").alias("y_f"), F.col("left").alias("y_left"))
     # behind their first common element two differences can have no more in common than the shorter rest
     enough = f"{2 * (100 + percent)} * (1 + least(left, y_left)) >= f + y_f"
+
+    # first every set is held against one other of its star, so that most of a group is connected and its pairs need no look
+    picked = store(_picked(prefix.filter("not linked and near"), enough), "picked")
+    picked = _compare(picked, sets, percent, False).filter("linked").select("a", "b")
+    linked = store(linked.union(picked), "first-links")
+    known = components(linked)
+    prefix = prefix.join(known, F.col("x") == F.col("node"), "left").withColumn("c", F.coalesce("component", "x")).drop("node", "component")
+    prefix = store(prefix, "placed-prefixes")
+    # an element whose sets are all connected leads to nothing new
+    several = prefix.groupBy("b", "h").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most").select("b", "h")
+    prefix = store(prefix.join(several, ["b", "h"]), "open-prefixes")
+    other = prefix.select("b", "h", F.col("x").alias("y"), F.col("linked").alias("y_linked"), F.col("near").alias("y_near"), F.col("f").alias("y_f"), F.col("left").alias("y_left"), F.col("c").alias("y_c"))
     failed = prefix.filter("not linked")
-    both = failed.filter("near").join(other.filter("not y_linked and y_near"), ["b", "h"]).filter(f"x < y and {enough}")
-    mixed = failed.join(other.filter("y_linked"), ["b", "h"]).filter(f"x <> y and {enough}").select("x", "y")
+    both = failed.filter("near").join(other.filter("not y_linked and y_near"), ["b", "h"]).filter(f"x < y and c <> y_c and {enough}")
+    mixed = failed.join(other.filter("y_linked"), ["b", "h"]).filter(f"c <> y_c and {enough}").select("x", "y")
     rest = both.select("x", "y").union(mixed.select(F.least("x", "y"), F.greatest("x", "y"))).distinct()
     rest = store(rest.select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(False).alias("crowd")), "rest")
     more = _compare(rest, sets, percent, False).filter("linked").select("a", "b")
     return store(linked.union(more), "links")
 
 
+def _picked(prefix: DataFrame, enough: str) -> DataFrame:
+    """Pairs (a, b), one a set and star at most: of the smallest sets of its elements, the one it shares most of them with."""
+    first = prefix.groupBy("b", "h").agg(F.min(F.struct("x", "f", "left")).alias("y"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = first.select("b", "h", F.col("y.x").alias("y"), F.col("y.f").alias("y_f"), F.col("y.left").alias("y_left"))
+    pairs = prefix.join(first, ["b", "h"]).filter(f"x <> y and {enough}").groupBy("b", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    best = pairs.groupBy("b", "x").agg(F.max(F.struct("n", "y")).alias("best"))
+    return best.select(F.col("x").alias("a"), F.col("best.y").alias("b"), F.lit(False).alias("crowd")).distinct()
+
+
 def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
     """Stored table of doc_id and its set (sorted little-endian 64-bit hashes) for the members."""
     words = bloom(members, F.col("_h"))
