@@ -26,6 +26,7 @@ from tickloom.operators import validate as V
 from tickloom.plans.training import as_scored, predict_next_close, prepare
 from tickloom.schemas import BRONZE, FEATURES, INDICATORS, SILVER, TARGET
 from tickloom.session import cut_lineage, shared_dir
+from tickloom.sources import changes as CH
 from tickloom.sources import feed as FD
 from tickloom.sources import history as H
 from tickloom.sources import lake as L
@@ -544,12 +545,22 @@ def prediction_actuals(spark, sf):
 
 @query
 def upsert_merge(spark, sf):
-    """Bars, upserted with the later copies of every third day plus days that are new."""
+    """Bars of even days, upserted with all bars and the later copies of every third day."""
     everything = duplicated_bars(spark, sf).select("ticker", "window_start", "close", "volume", "batch_id")
     target = everything.filter("batch_id = 'batch-0'").filter(F.dayofmonth("window_start") % 2 == 0)
-    updates = everything.filter("batch_id = 'batch-1'")
-    merged = U.upsert(target, updates, ["ticker", "window_start"], ["batch_id"])
-    return U.upsert(merged, updates, ["ticker", "window_start"], ["batch_id"])
+    merged = U.upsert(target, everything, ["ticker", "window_start"], ["batch_id"])
+    return U.upsert(merged, everything, ["ticker", "window_start"], ["batch_id"])
+
+
+@query
+def upsert_merged_on_read(spark, sf):
+    """All bars in three batches of changes, packed, then their later copies in a batch of its own."""
+    rows, root, keys = duplicated_bars(spark, sf).select("ticker", "window_start", "close", "volume", "batch_id"), shared_dir(spark, "changes"), ["ticker", "window_start"]
+    bars = rows.filter("batch_id = 'batch-0'")
+    for i in range(3):
+        CH.append_changes(bars.filter(F.dayofmonth("window_start") % 3 == i), root, "bars", keys, parts=3)
+    CH.append_changes(rows.filter("batch_id = 'batch-1'"), root, "bars", keys, parts=3)
+    return CH.read_merged(spark, root, "bars", keys)
 
 
 @query
@@ -562,15 +573,15 @@ def upsert_do_nothing(spark, sf):
 
 @query
 def upsert_insert_only(spark, sf):
-    """Rows of new keys are added, existing rows stay as they are."""
+    """All bars and later copies come in: rows of new keys are added, existing rows stay as they are."""
     rows = duplicated_bars(spark, sf).select("ticker", "window_start", "close", "batch_id")
     target = rows.filter("batch_id = 'batch-0'").filter(F.dayofmonth("window_start") % 2 == 0)
-    return U.insert_missing(target, rows.filter("batch_id = 'batch-1'"), ["ticker", "window_start"])
+    return U.insert_missing(target, rows, ["ticker", "window_start"])
 
 
 # ---- streaming ---------------------------------------------------------------------------------
 
-for _name in ("stream_bars_append", "stream_upsert", "stream_dual_sink", "stream_dead_letter",
+for _name in ("stream_bars_append", "stream_upsert", "stream_merge_on_read", "stream_dual_sink", "stream_dead_letter",
               "stream_late_drop", "stream_restart"):
     register(_name, getattr(streams, _name))
 
@@ -601,13 +612,14 @@ def scale_features(spark, sf):
 
 @query
 def lookback_sequences(spark, sf):
-    """Length, first and last step of each sequence (first feature and last feature)."""
+    """Length, first and last step of each sequence, and the mean of each feature over its steps, so that every value counts."""
     rows = ML.lookback_sequences(split_table(spark, sf))
     seq = F.col("sequence")
     return rows.select(
         "ticker_id", "date_id", TARGET, F.size(seq).alias("steps"), F.size(seq[0]).alias("features"),
         seq[0][3].alias("first_close"), seq[29][3].alias("last_close"),
-        seq[0][4].alias("first_volume"), seq[29][18].alias("last_volume_zscore"))
+        seq[0][4].alias("first_volume"), seq[29][18].alias("last_volume_zscore"),
+        *[rnd(F.aggregate(F.transform(seq, lambda step: step[i]), F.lit(0.0), lambda a, x: a + x) / F.size(seq), 6).alias(f"mean_{c}") for i, c in enumerate(FEATURES)])
 
 
 def _rounded(metrics):

@@ -454,19 +454,22 @@ ORACLE = {
                actual as actual_close from predictions""",
     "upsert_merge": ctes("duplicated") + """
         select ticker, date::timestamp as window_start, close, volume, batch_id from duplicated
-        where batch_id = 'batch-1' or day(date) % 2 = 0
+        qualify row_number() over (partition by ticker, date order by batch_id desc) = 1""",
+    "upsert_merged_on_read": ctes("duplicated") + """
+        select ticker, date::timestamp as window_start, close, volume, batch_id from duplicated
         qualify row_number() over (partition by ticker, date order by batch_id desc) = 1""",
     "upsert_do_nothing": ctes("daily_li") + """
         select ticker, date::timestamp as window_start from daily_li""",
     "upsert_insert_only": ctes("duplicated") + """
         select ticker, date::timestamp as window_start, close, batch_id from duplicated
-        where batch_id = 'batch-0' and day(date) % 2 = 0
-           or batch_id = 'batch-1' and day(date) % 2 <> 0""",
+        where batch_id = 'batch-0' or day(date) % 2 <> 0
+        qualify row_number() over (partition by ticker, date order by batch_id desc) = 1""",
     # streaming
     "stream_bars_append": ctes("minute_bars") + f"select {_BAR} from minute_bars where {_CLOSED}",
     "stream_late_drop": ctes("minute_bars") + f"select {_BAR} from minute_bars where {_CLOSED}",
     "stream_restart": ctes("minute_bars") + f"select {_BAR} from minute_bars where {_CLOSED}",
     "stream_upsert": ctes("minute_bars") + f"select {_BAR}, 'feed_ws' as source_api from minute_bars",
+    "stream_merge_on_read": ctes("minute_bars") + f"select {_BAR}, 'feed_ws' as source_api from minute_bars",
     "stream_dual_sink": ctes("minute_bars") + f"""
         select 'bronze' as sink, ticker, window_start, close, volume from minute_bars where {_CLOSED}
         union all select 'upsert', ticker, window_start, close, volume from minute_bars""",
@@ -492,11 +495,12 @@ ORACLE = {
         select ticker_id, date_id, split,
                {', '.join(f"{r(f'({c} - m_{c}) / case when s_{c} = 0 then 1 else s_{c} end', 6)} as {c}" for c in _FEATURES)}
         from split join stats using (ticker_id)""",
-    "lookback_sequences": ctes("split") + """
+    "lookback_sequences": ctes("split") + f"""
         select ticker_id, date_id, target_next_close, 30 as steps, 19 as features,
                lag(close, 30) over w as first_close, lag(close, 1) over w as last_close,
                cast(lag(volume, 30) over w as double) as first_volume,
-               lag(volume_zscore, 1) over w as last_volume_zscore
+               lag(volume_zscore, 1) over w as last_volume_zscore,
+               {', '.join(f"{r(f'avg({c}) over (partition by ticker_id order by date_id rows between 30 preceding and 1 preceding)', 6)} as mean_{c}" for c in _FEATURES)}
         from split window w as (partition by ticker_id order by date_id) qualify rn > 30""",
     "naive_forecast": ctes("split") + """
         select ticker_id, date_id, 'naive' as model, target_next_close as actual, close as predicted,

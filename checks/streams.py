@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import views
 from tickloom.session import shared_dir, use_utc
 from tickloom.schemas import DEAD_LETTER
+from tickloom.sources.changes import read_merged
 from tickloom.streaming import jobs
 
 FILES_PER_SLICE = 4
@@ -105,6 +106,16 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out").select(*BAR_COLUMNS, "source_api")
 
 
+def stream_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_upsert``, but every micro-batch writes its own bars only; packed at three parts."""
+    work = shared_dir(use_utc(spark), "stream")
+    parts = _slices(spark, sf_dir)
+    _arrive([parts[k] for k in "abcd"], f"{work}/in")
+    bars = jobs.live_bars(views.as_ticks(_arrivals(spark, sf_dir, f"{work}/in")))
+    _drain(lambda out, ck: jobs.start_upsert(bars, jobs.lake_changes(out, parts=3), ck, "feed_ws", trigger=DRAIN), f"{work}/out", f"{work}/ck")
+    return read_merged(spark, f"{work}/out", "bars", jobs.STREAM_KEY).select(*BAR_COLUMNS, "source_api")
+
+
 def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sinks at once, each with its own checkpoint."""
     work = shared_dir(use_utc(spark), "stream")

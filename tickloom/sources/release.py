@@ -47,7 +47,7 @@ class Release:
         """Show all tables at once if ``audit`` says so; otherwise the release before stays."""
         if not audit():
             return False
-        last = _pointers(self.spark, self.root).agg(F.max("sequence").alias("n")).first()["n"] or 0
+        last = last_sequence(self.spark, self.root)
         rows = [(last + 1, self.run, name, path) for name, paths in self.paths.items() for path in paths]
         self.spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
         return True
@@ -62,6 +62,11 @@ def _pointers(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], POINTERS)
 
 
+def last_sequence(spark: SparkSession, root: str) -> int:
+    """Number of the newest release; 0 if there is none."""
+    return _pointers(spark, root).agg(F.max("sequence").alias("n")).first()["n"] or 0
+
+
 def current(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """Paths of the newest release by table name; of two runs with one number the later name wins.  A few rows."""
     rows = _pointers(spark, root)

@@ -16,8 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.bars import MINUTE_MS, ohlcv_bars, with_event_time, with_ingest_metadata
 from tickloom.operators.upsert import upsert_partitions, with_retry
 from tickloom.operators.validate import split_ticks
+from tickloom.sources.changes import append_changes
 from tickloom.sources.feed import tick_dead_letters
 from tickloom.sources.lake import PARTITIONS
+from tickloom.sources.release import PARTS
 
 log = logging.getLogger(__name__)
 
@@ -92,6 +94,17 @@ def lake_upsert(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def lake_changes(root: str, name: str = "bars", parts: int = PARTS) -> Callable[[DataFrame, int], None]:
+    """Upsert target in the lake that is merged on read: a micro-batch writes its own bars and no others.
+
+    ``changes.read_merged(spark, root, name, STREAM_KEY)`` gives the newest state of each bar.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_changes(batch, root, name, STREAM_KEY, ("micro_batch",), parts)
+
+    return write
+
+
 def start_dead_letters(
     ticks: DataFrame, path: str, checkpoint: str, trigger: dict = TRIGGER,
 ) -> StreamingQuery:
