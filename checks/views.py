@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.dates import iso_utc
-from tickloom.session import use_utc
+from tickloom.session import measured, use_utc
 
 INGESTED = "2024-02-01 00:00:00"
 
@@ -83,22 +83,36 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_li(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of line items by brand: the large history."""
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part").select("p_partkey", "p_brand"),
-        F.col("l_partkey") == F.col("p_partkey"),
-    )
+    """Daily bars of line items by brand: the large history.
+
+    The order of items is a struct, and an aggregate that keeps one sorts every row of a task.  So the bounds of a bar, of
+    fixed width, are hashed first; open and close then come from the items of its first and last order only.
+    """
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    # a null order key comes first; it may tie with the smallest number, which the whole order then decides
+    items = table(spark, sf_dir, "lineitem").withColumn("_order", F.coalesce(F.col("l_orderkey").cast("long"), F.lit(-2 ** 63)))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     price = F.col("l_extendedprice") / F.col("l_quantity")
+
+    def priced(some: DataFrame) -> DataFrame:
+        return some.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+            F.upper("p_brand").alias("ticker"), F.col("l_shipdate").cast("timestamp").alias("date"),
+            price.alias("price"), "l_quantity", "_order", order.alias("at"))
+
+    bounds = measured(priced(items).groupBy("ticker", "date").agg(
+        F.max("price").alias("high"), F.min("price").alias("low"), F.sum(F.col("l_quantity").cast("long")).alias("volume"),
+        F.min("_order").alias("_first"), F.max("_order").alias("_last")), "bar-bounds")
+    orders = measured(bounds.select(F.explode(F.array("_first", "_last")).alias("_order")).distinct(), "edge-orders")
+    edges = priced(items.join(orders, "_order", "left_semi"))
+    bars = bounds.select(F.col("ticker").alias("_ticker"), F.col("date").alias("_date"), "high", "low", "volume", "_first", "_last")
+    # nulls in a key are one bar
+    edges = edges.join(bars, F.col("ticker").eqNullSafe(F.col("_ticker")) & F.col("date").eqNullSafe(F.col("_date"))) \
+        .filter("_order = _first or _order = _last")
     return (
-        items.select("p_brand", "l_shipdate", price.alias("price"), "l_quantity", order.alias("at"))
-        .groupBy(F.upper("p_brand").alias("ticker"), F.col("l_shipdate").cast("timestamp").alias("date"))
-        .agg(
-            F.min_by("price", "at").alias("open"), F.max("price").alias("high"),
-            F.min("price").alias("low"), F.max_by("price", "at").alias("close"),
-            F.sum(F.col("l_quantity").cast("long")).alias("volume"),
-        )
-        .withColumns({"source": F.lit("lineitem"), "ingested_at": F.lit(INGESTED)})
+        edges.groupBy("ticker", "date", "high", "low", "volume")
+        .agg(F.min_by("price", "at").alias("open"), F.max_by("price", "at").alias("close"))
+        .select("ticker", "date", "open", "high", "low", "close", "volume",
+                F.lit("lineitem").alias("source"), F.lit(INGESTED).alias("ingested_at"))
     )
 
 
