@@ -102,3 +102,10 @@ def test_null_ids_repeated_rows_long_text_and_empty_table(spark):
     got = jaccard.similar_documents(spark.createDataFrame(data, DOCS), 3, 90).collect()
     assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(3, 3), (3, 3), (5, 3), (7, 7), (8, 7), (9, 9)]
     assert [r.component_id for r in got if r.doc_id is None] == [None]
+
+
+def test_signatures_are_cut_finer_than_other_rows(spark):
+    own = spark.createDataFrame([(i, [i, -i]) for i in range(1, 500)], "doc_id long, sigs array<long>")
+    signs = jaccard._signs(own)
+    assert signs.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, signs.collect())) == sorted((i, s) for i in range(1, 500) for s in (i, -i))
