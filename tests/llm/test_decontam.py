@@ -105,3 +105,20 @@ def test_texts_shorter_than_the_item(spark):
     assert got == sorted(want)
     size = {i: len(words(t)) for i, t, *_ in docs}
     assert sum(size[i] - 4 < m for i, _, _, _, m, _ in got) >= 20
+
+
+def test_no_rows_come_from_python(spark, tmp_path, monkeypatch):
+    """Rows of a Python list start Python workers in every executor, which stay there."""
+    docs, items, plans, store = str(tmp_path / "documents"), str(tmp_path / "benchmark"), [], decontam.store
+    item = " ".join(f"w{i}" for i in range(30))
+    spark.createDataFrame([(1, "a b c " + item, 0, 0, 0), (2, "d e f g h", 0, 0, 0)], DOCS).write.parquet(docs)
+    spark.createDataFrame([(1, item, 0)], ITEMS).write.parquet(items)
+
+    def look(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(decontam, "store", look)
+    assert [r.doc_id for r in decontam.contaminated(spark.read.parquet(docs), spark.read.parquet(items)).collect()] == [1]
+    assert plans and not [p for p in plans if "ExistingRDD" in p]
+    assert decontam.contaminated(spark.read.parquet(docs), spark.read.parquet(items).filter("item_id is null")).count() == 0

@@ -77,8 +77,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("item_id", "w", F.least(F.size("w"), F.lit(SHINGLE)).alias("k"))
     items = store(items, "items")
     found = [_matches(docs, items.filter(F.col("k") == k), k) for k in sorted(r["k"] for r in items.select("k").distinct().collect())]  # 1 to 5
-    empty = docs.sparkSession.createDataFrame([], "row long, item_id long, start int, matched int, n_shingles int, n_window int")
-    out = empty
+    # made by Spark: rows of a Python list would start Python workers of their own in every executor
+    out = docs.sparkSession.range(0).select(F.col("id").alias("row"), F.col("id").alias("item_id"), *[F.lit(0).alias(c) for c in ("start", "matched", "n_shingles", "n_window")])
     for f in found:
         out = out.unionByName(f)
     best = out.groupBy("row", "item_id").agg(F.max(F.struct("matched", (-F.col("start")).alias("late"), "n_shingles", "n_window")).alias("best"))

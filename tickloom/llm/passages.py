@@ -186,13 +186,16 @@ def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW
     maybe = bloom(spans, F.col("row"))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
-    def parts(wanted: bool):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hit = in_bloom(maybe, batch.column("row").to_numpy(zero_copy_only=False))
-                if (hit == wanted).any():
-                    yield batch.filter(pa.array(hit == wanted))
-        return run
+    def picked(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(in_bloom(maybe, batch.column("row").to_numpy(zero_copy_only=False)) == wanted))
+
+    def losing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if (part := picked(batch, True)).num_rows:
+                yield part
+
+    def untouched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cut(picked(batch, False) for batch in batches)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -212,10 +215,11 @@ def without_repeats(docs: DataFrame, carry: list[str] = [], window: int = WINDOW
                  part.column("carried")], ["doc_id", "kept", "n_words", "n_removed", "carried"])
 
     out = StructType().add("doc_id", "long").add("kept", "string").add("n_words", "long").add("n_removed", "long").add(rows.schema["carried"])
-    # documents that certainly keep all their words don't move; the others meet their ranges
-    still = rows.mapInArrow(parts(False), rows.schema)
-    moved = rows.mapInArrow(parts(True), rows.schema).join(spans, ["doc_id", "row"], "left")
-    result = still.mapInArrow(cut, out).unionByName(moved.mapInArrow(cut, out))
+    # documents that certainly keep all their words don't move; the others meet their ranges, always by a shuffle: two Python
+    # steps in one task would need two workers, which stay with the executor for the rest of the session
+    still = rows.mapInArrow(untouched, out)
+    moved = rows.mapInArrow(losing, rows.schema).join(spans.hint("merge"), ["doc_id", "row"], "left").mapInArrow(cut, out)
+    result = still.unionByName(moved)
     return result.select("doc_id", "kept", "n_words", "n_removed", *[F.col(f"carried.`{c}`").alias(c) for c in carry])
 
 
