@@ -1,7 +1,8 @@
-"""Connected components of long chains."""
+"""Connected components of long chains; batches of a bounded size."""
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from tickloom.llm import common
@@ -22,3 +23,22 @@ def test_long_chains_settle_in_few_rounds(spark, monkeypatch, order):
     assert dict(map(tuple, got)) == dict.fromkeys(ids, 10_000) | {3: 3, 5: 3, 4: 4, 9: 4, 7: 4}
     assert len(got) == 2_005
     assert stored.count("labels") <= 1 + 2 * 16
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    rows = [(i, "x" * 5_000) for i in range(4_000)] + [(4_000, "y" * (2 * common.BATCH_BYTES))]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(path)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    got = common.table(spark, str(tmp_path), "documents").mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 4_001
+    assert all(r.bytes < 1.1 * common.BATCH_BYTES + 5_000 for r in got if r.bytes < 2 * common.BATCH_BYTES)
+    assert sum(r.bytes >= 2 * common.BATCH_BYTES for r in got) == 1
+    # the powers for hashing grow in steps, whatever comes first
+    for n in (1, common.CHUNK_BYTES // 4, common.CHUNK_BYTES + 7, 3):
+        up, down = common._powers(n)
+        assert len(up) == len(down) == n and (up * down == 1).all()

@@ -15,14 +15,18 @@ from tickloom.session import shared_dir  # noqa: F401
 
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
 CHUNK_BYTES = 1 << 20
+#: Bytes of a batch between Spark and a Python worker (one row at least).  Both sides keep buffers of the largest batch they had.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  Python workers of a session that was started elsewhere learn where this package lies."""
+    """A given table.  Python workers of a session that was started elsewhere learn where this package lies, and its batches are
+    bounded by bytes: 10,000 texts can be any size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -103,7 +107,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = -(-n // (CHUNK_BYTES // 4)) * (CHUNK_BYTES // 4)
         for name, base in (("up", int(_POWER)), ("down", pow(int(_POWER), -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
