@@ -1,6 +1,7 @@
-"""Connected components of long chains; batches of a bounded size."""
+"""Connected components of long chains; batches of a bounded size; shuffle files."""
 
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -42,3 +43,22 @@ def test_batches_for_python_are_bounded_by_bytes(spark, tmp_path):
     for n in (1, common.CHUNK_BYTES // 4, common.CHUNK_BYTES + 7, 3):
         up, down = common._powers(n)
         assert len(up) == len(down) == n and (up * down == 1).all()
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {f for f in files.split() if "shuffle_" in f}
+
+    spark.range(1_000).selectExpr("id as doc_id", "repeat('x', cast(id as int)) as text").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = common.table(spark, str(tmp_path), "documents")
+    before = shuffled()
+    counts = docs.groupBy("text").count()
+    got = common.store(counts.join(docs.groupBy("text").agg({"doc_id": "max"}), "text"), "counts")
+    assert got.count() == 1_000
+    assert len(counts.collect()) == len(counts.collect()) == 1_000  # a frame can be run again
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before

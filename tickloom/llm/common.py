@@ -21,12 +21,15 @@ BATCH_BYTES = 4 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table.  Python workers of a session that was started elsewhere learn where this package lies, and its batches are
-    bounded by bytes: 10,000 texts can be any size."""
+    bounded by bytes: 10,000 texts can be any size.  Shuffle files go when the query that made them ends, not when the driver
+    happens to collect its garbage: operators store what later steps read.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
